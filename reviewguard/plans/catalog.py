@@ -8,6 +8,7 @@ from .registry import CHECK, ORACLE, QUERIES
 
 MODULES = [
     "q_windows",
+    "q_graph",
 ]
 
 for _m in MODULES:

@@ -46,13 +46,17 @@ PARSED_EV_SQL = """parsed_ev AS (
   WHERE event_time IS NOT NULL)"""
 
 
-def user_windows_sql(seconds: int, low_cut: float, burst: int, distinct_flag: int | None,
-                     v2: bool = True) -> str:
+def uw_ctes(seconds: int, low_cut: float = 3.0, burst: int = 3, distinct_flag: int | None = 3,
+            v2: bool = True, reviews_cte: str = REVIEWS_EV_SQL, reviews_name: str = "reviews_ev") -> list[str]:
+    """CTEs ``uw`` (user windows, text times, flags) and ``tgt`` (window ->
+    product edges) over ``parsed_ev``."""
     susp = f"burst_detected = 1 OR distinct_products >= {distinct_flag}" if distinct_flag else "burst_detected = 1"
     v2_cols = ("CAST(max(CASE WHEN source = 'synthetic_spam' THEN 1 ELSE 0 END) AS INTEGER) AS source_spam_label,\n"
                "         CAST(count(DISTINCT product_id) AS INTEGER) AS num_products_in_window,") if v2 else ""
-    return with_ctes(REVIEWS_EV_SQL, PARSED_EV_SQL, f"""uw AS (
-  SELECT make_timestamp(CAST(floor(epoch_us(event_time) / {seconds * 1_000_000}) AS BIGINT) * {seconds * 1_000_000}) AS ws,
+    us = seconds * 1_000_000
+    parsed = PARSED_EV_SQL.replace("FROM reviews_ev", f"FROM {reviews_name}")
+    return [reviews_cte, parsed, f"""uw0 AS (
+  SELECT make_timestamp(CAST(floor(epoch_us(event_time) / {us}) AS BIGINT) * {us}) AS ws,
          user_id, anonymous_user_id,
          count(*) AS low_rating_reviews_by_user_5m,
          count(DISTINCT product_id) AS distinct_products,
@@ -60,14 +64,26 @@ def user_windows_sql(seconds: int, low_cut: float, burst: int, distinct_flag: in
          {v2_cols}
          0 AS _pad
   FROM parsed_ev WHERE rating <= {low_cut}
-  GROUP BY 1, 2, 3)""", body=f"""
-SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
-       strftime(ws + INTERVAL {seconds} SECOND, '%Y-%m-%d %H:%M:%S') AS window_end,
-       user_id, anonymous_user_id, low_rating_reviews_by_user_5m, distinct_products, product_ids,
-       {"source_spam_label, num_products_in_window," if v2 else ""}
-       burst_detected,
-       CAST(CASE WHEN {susp} THEN 1 ELSE 0 END AS INTEGER) AS suspicious_user_flag
-FROM (SELECT *, CAST(CASE WHEN low_rating_reviews_by_user_5m >= {burst} THEN 1 ELSE 0 END AS INTEGER) AS burst_detected FROM uw)""")
+  GROUP BY 1, 2, 3)""", f"""uw1 AS (
+  SELECT *, CAST(CASE WHEN low_rating_reviews_by_user_5m >= {burst} THEN 1 ELSE 0 END AS INTEGER) AS burst_detected
+  FROM uw0)""", f"""uw AS (
+  SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
+         strftime(ws + INTERVAL {seconds} SECOND, '%Y-%m-%d %H:%M:%S') AS window_end,
+         user_id, anonymous_user_id, low_rating_reviews_by_user_5m, distinct_products, product_ids,
+         {"source_spam_label, num_products_in_window," if v2 else ""}
+         burst_detected,
+         CAST(CASE WHEN {susp} THEN 1 ELSE 0 END AS INTEGER) AS suspicious_user_flag
+  FROM uw1)""", f"""tgt AS (
+  SELECT DISTINCT user_id,
+         strftime(make_timestamp(CAST(floor(epoch_us(event_time) / {us}) AS BIGINT) * {us}), '%Y-%m-%d %H:%M:%S') AS window_start,
+         strftime(make_timestamp(CAST(floor(epoch_us(event_time) / {us}) AS BIGINT) * {us}) + INTERVAL {seconds} SECOND, '%Y-%m-%d %H:%M:%S') AS window_end,
+         product_id
+  FROM parsed_ev WHERE rating <= {low_cut} AND product_id IS NOT NULL AND user_id IS NOT NULL)"""]
+
+
+def user_windows_sql(seconds: int, low_cut: float, burst: int, distinct_flag: int | None,
+                     v2: bool = True) -> str:
+    return with_ctes(*uw_ctes(seconds, low_cut, burst, distinct_flag, v2), body="SELECT * FROM uw")
 
 
 WIRE_JSON_SQL = with_ctes(REVIEWS_EV_SQL, body="""
