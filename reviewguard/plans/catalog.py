@@ -9,6 +9,7 @@ from .registry import CHECK, ORACLE, QUERIES
 MODULES = [
     "q_windows",
     "q_graph",
+    "q_sketch",
 ]
 
 for _m in MODULES:
