@@ -55,13 +55,17 @@ def tokens(c) -> Column:
 
 def ngrams(tok, n: int = 3) -> Column:
     """Word n-grams joined by one space, in text order, duplicates kept
-    (the MLlib NGram transformer's output); empty when fewer than n tokens."""
+    (the MLlib NGram transformer's output); empty when fewer than n tokens.
+
+    Built from n shifted slices zipped together, so the work is linear in
+    the number of tokens (no per-gram lambda over the whole token array).
+    """
     t = _c(tok)
-    return F.when(
-        F.size(t) >= n,
-        F.transform(F.sequence(F.lit(0), F.size(t) - n),
-                    lambda i: F.array_join(F.slice(t, i + 1, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+    m = F.size(t) - n + 1
+    shifted = [F.slice(t, k + 1, F.greatest(m, F.lit(1))) for k in range(n)]
+    zipped = F.arrays_zip(*shifted)
+    grams = F.transform(zipped, lambda z: F.concat_ws(" ", *[z[str(k)] for k in range(n)]))
+    return F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
 def shingle_set(tok, n: int = 3) -> Column:

@@ -10,6 +10,7 @@ MODULES = [
     "q_windows",
     "q_graph",
     "q_sketch",
+    "q_text",
 ]
 
 for _m in MODULES:
