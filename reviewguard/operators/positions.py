@@ -56,3 +56,24 @@ def ones_with_positions(df: DataFrame, key: str, order: list[str], bit: str,
     )
     totals = blocks.groupBy(key).agg(F.sum("_n").alias("events"), F.sum("_n1").alias("ones"))
     return out, totals
+
+
+def row_positions(df: DataFrame, order: list[str], key: list[str] | None = None,
+                  out_col: str = "pos", num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus a 1-based position in ``order`` (within ``key`` when
+    given), computed like :func:`ones_with_positions`: range partitioning,
+    a checkpoint, per-block prefix sums joined back (the block table has at
+    most partitions + keys rows)."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = key or []
+    sort_cols = [*key, *order]
+    s = checkpoint(df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols))
+    s = s.withColumn("_pid", F.spark_partition_id()).withColumn("_loc", _local_index())
+    blocks = s.groupBy("_pid", *key).agg(F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_loc0"))
+    w = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) if key \
+        else Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    out = s.join(blocks.select("_pid", *key, "_off", "_loc0"), ["_pid", *key])
+    return out.withColumn(out_col, F.col("_off") + F.col("_loc") - F.col("_loc0") + 1).drop(
+        "_pid", "_loc", "_off", "_loc0")

@@ -11,6 +11,7 @@ MODULES = [
     "q_graph",
     "q_sketch",
     "q_text",
+    "q_ingest",
 ]
 
 for _m in MODULES:
