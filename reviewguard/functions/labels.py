@@ -52,20 +52,21 @@ def parse_text_ts(c) -> Column:
     return F.coalesce(F.try_to_timestamp(s), *[F.try_to_timestamp(s, F.lit(f)) for f in TEXT_TS_FORMATS])
 
 
-def pandas_style_text(df: DataFrame, ts_col: str) -> Column:
+def with_pandas_style_text(df: DataFrame, ts_col: str, out_col: str) -> DataFrame:
     """Timestamp column -> text the way a whole column is printed: date only
     when every value is midnight, else seconds, with 3 or 6 fraction digits
     when any value needs them. The column-wide facts come from one scalar
-    subquery, not from the driver."""
-    us = F.unix_micros(F.col(ts_col))
-    agg = df.agg(F.struct(
+    subquery that enters the plan once (as a column), not from the driver."""
+    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    facts = df.agg(F.struct(
         F.coalesce(F.bool_and(us % 86_400_000_000 == 0), F.lit(False)).alias("dates"),
         F.coalesce(F.bool_or(us % 1000 != 0), F.lit(False)).alias("micros"),
         F.coalesce(F.bool_or(us % 1_000_000 != 0), F.lit(False)).alias("millis"),
     ).alias("s"))
-    s = agg.scalar()
+    d = df.withColumn("_fmt", facts.scalar())
     t = F.col(ts_col)
-    return (F.when(s["dates"], F.date_format(t, "yyyy-MM-dd"))
-            .when(s["micros"], F.date_format(t, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-            .when(s["millis"], F.date_format(t, "yyyy-MM-dd HH:mm:ss.SSS"))
+    text = (F.when(F.col("_fmt.dates"), F.date_format(t, "yyyy-MM-dd"))
+            .when(F.col("_fmt.micros"), F.date_format(t, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+            .when(F.col("_fmt.millis"), F.date_format(t, "yyyy-MM-dd HH:mm:ss.SSS"))
             .otherwise(F.date_format(t, "yyyy-MM-dd HH:mm:ss")))
+    return d.withColumn(out_col, text).drop("_fmt")

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import DEFAULT_TS, normalize_label, num, pandas_style_text, parse_text_ts
+from ..functions.labels import DEFAULT_TS, normalize_label, num, parse_text_ts, with_pandas_style_text
 from ..functions.text import clean_for_storage
 from ..schema import REVIEW_COLUMNS
 from .positions import row_positions
@@ -110,7 +110,7 @@ def _finish(std: DataFrame) -> DataFrame:
     if dict(std.dtypes)["_ts"] == "string":
         std = std.withColumnRenamed("_ts", "timestamp")
     else:
-        std = std.withColumn("timestamp", pandas_style_text(std, "_ts")).drop("_ts")
+        std = with_pandas_style_text(std, "_ts", "timestamp").drop("_ts")
     std = std.filter(F.col("review_text").isNotNull())
     return dedupe_first(std, ["review_text"], "_row").select(*REVIEW_COLUMNS)
 

@@ -12,6 +12,7 @@ MODULES = [
     "q_sketch",
     "q_text",
     "q_ingest",
+    "q_risk",
 ]
 
 for _m in MODULES:

@@ -69,7 +69,7 @@ def q_graph_nodes_edges(spark, sf_dir):
     return G.graph_long(day_graph(spark, sf_dir))
 
 
-GRAPH_UPSERT_SQL = with_ctes(*uw_ctes(86400), f"""b AS (
+UPSERT_CTES = [*uw_ctes(86400), f"""b AS (
   SELECT *, CASE WHEN timestamp < '{SPLIT_TS}' THEN 0 ELSE 1 END AS batch_id,
          make_timestamp(CAST(floor(epoch_us(event_time) / 86400000000) AS BIGINT) * 86400000000) AS ws
   FROM parsed_ev WHERE rating <= 3)""", """bw AS (
@@ -82,7 +82,8 @@ GRAPH_UPSERT_SQL = with_ctes(*uw_ctes(86400), f"""b AS (
   FROM b GROUP BY batch_id, user_id, ws, anonymous_user_id)""", """latest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, window_start, window_end ORDER BY batch_id DESC) AS rn FROM bw)
   WHERE rn = 1)""", """edges AS (
-  SELECT DISTINCT user_id, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, product_id FROM b)""", body="""
+  SELECT DISTINCT user_id, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, product_id FROM b)"""]
+GRAPH_UPSERT_SQL = with_ctes(*UPSERT_CTES, body="""
 SELECT l.user_id, l.window_start, l.window_end, anonymous_user_id, low_rating_reviews_by_user_5m,
        distinct_products, num_products_in_window,
        CAST(CASE WHEN low_rating_reviews_by_user_5m >= 3 THEN 1 ELSE 0 END AS INTEGER) AS burst_detected,

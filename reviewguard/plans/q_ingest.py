@@ -142,13 +142,14 @@ EPOCH_SQL = """ep AS (SELECT event_id, epoch_us(ts) // 1000 AS ms, epoch(ts) AS
 @query("epoch_to_ts", with_ctes(*EPOCH_SQL, body=f"""
 SELECT event_id, {pandas_ts_sql('t_ms', 'ep2')} AS ts_from_ms, {pandas_ts_sql('t_s', 'ep2')} AS ts_from_s FROM ep2"""))
 def q_epoch_to_ts(spark, sf_dir):
-    from ..functions.labels import pandas_style_text
+    from ..functions.labels import with_pandas_style_text
     e = read_table(spark, sf_dir, "events").select(
         "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("s"))
     t = e.select("event_id", I.epoch_to_ts(e, "ms").alias("t_ms"), I.epoch_to_ts(e, "s").alias("t_s"))
-    return t.select("event_id", pandas_style_text(t, "t_ms").alias("ts_from_ms"),
-                    pandas_style_text(t, "t_s").alias("ts_from_s"))
+    t = with_pandas_style_text(t, "t_ms", "ts_from_ms")
+    t = with_pandas_style_text(t, "t_s", "ts_from_s")
+    return t.select("event_id", "ts_from_ms", "ts_from_s")
 
 
 @query("profile", with_ctes(REVIEWS_DOC_SQL, body="""

@@ -15,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.driver.memory": "8g",
     "spark.ui.showConsoleProgress": "false",
 }
 
