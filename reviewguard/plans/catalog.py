@@ -13,6 +13,7 @@ MODULES = [
     "q_text",
     "q_ingest",
     "q_risk",
+    "q_anomaly",
 ]
 
 for _m in MODULES:
