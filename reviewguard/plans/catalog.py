@@ -14,6 +14,7 @@ MODULES = [
     "q_ingest",
     "q_risk",
     "q_anomaly",
+    "q_stream",
 ]
 
 for _m in MODULES:

@@ -26,7 +26,11 @@ def reviews_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     product = props.k, rating = min(5, 1 + floor(value / 15)), the ``error``
     events play the injected spam (source ``synthetic_spam``).
     """
-    ev = read_table(spark, sf_dir, "events")
+    return events_as_reviews(read_table(spark, sf_dir, "events"))
+
+
+def events_as_reviews(ev: DataFrame) -> DataFrame:
+    """The events -> reviews projection (works on batch and streaming frames)."""
     return ev.select(
         F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("review_id"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_id"),
