@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import USER_GRAPH_FEATURES
+from ..session import checkpoint
 
 WINDOW_KEY = ["user_id", "window_start", "window_end"]
 WINDOW_PROPS = ["anonymous_user_id", "low_rating_reviews_by_user_5m", "distinct_products",
@@ -26,14 +27,18 @@ def _ts_text(c: str):
     return F.date_format(F.col(c), TS_TEXT).alias(c)
 
 
-def window_graph(uw: DataFrame, batch_col: str | None = None) -> dict[str, DataFrame]:
+def window_graph(uw: DataFrame, batch_col: str | None = None, materialize: bool = True) -> dict[str, DataFrame]:
     """Node and edge tables of one batch of user windows. Window times are
-    stored as text, as the graph stores them."""
+    stored as text, as the graph stores them. The window rows feed five
+    tables, so they are checkpointed once (``materialize``) instead of
+    being recomputed per table."""
     extra = [batch_col] if batch_col else []
     w = uw.select(
         "user_id", _ts_text("window_start"), _ts_text("window_end"),
         *[F.col(c) for c in WINDOW_PROPS if c in uw.columns], "product_ids", *extra,
     ).filter(F.col("user_id").isNotNull())
+    if materialize:
+        w = checkpoint(w)
     return upsert_window_graph(w, batch_col)
 
 

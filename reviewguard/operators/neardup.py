@@ -45,10 +45,15 @@ ID = "review_id"
 SIDE_COLS = ["user_id", "product_id"]
 
 
-def prepare(df: DataFrame, p: NearDupParams = V2) -> DataFrame:
+def prepare(df: DataFrame, p: NearDupParams = V2, materialize: bool = True) -> DataFrame:
     """Rows usable for near-duplicates: non-blank text, cleaned non-empty,
-    at least ``min_tokens`` tokens; adds clean_review_text, tokens,
-    shingles (distinct, text order) and n_shingles."""
+    at least ``min_tokens`` tokens; adds clean_review_text, shingles
+    (distinct, text order), n_shingles and sh_hash (64-bit hashes of the
+    shingles, for the candidate joins).
+
+    With ``materialize`` the result is checkpointed: cleaning and shingling
+    are the expensive part and every later step (index, verification,
+    output) reads this table instead of recomputing them."""
     d = df.filter(F.col("review_text").isNotNull() & (F.trim(F.col("review_text")) != ""))
     if p.low_cut is not None:
         d = d.filter(F.col("rating") <= p.low_cut)
@@ -56,7 +61,11 @@ def prepare(df: DataFrame, p: NearDupParams = V2) -> DataFrame:
         F.col("clean_review_text") != "")
     d = d.withColumn("tokens", tokens("clean_review_text")).filter(F.size("tokens") >= p.min_tokens)
     d = d.withColumn("shingles", shingle_set("tokens", p.ngram)).filter(F.size("shingles") > 0)
-    return d.withColumn("n_shingles", F.size("shingles"))
+    d = d.withColumn("n_shingles", F.size("shingles")).withColumn(
+        "sh_hash", F.transform("shingles", lambda x: F.xxhash64(x)))
+    d = d.select(ID, *[c for c in SIDE_COLS if c in d.columns], "clean_review_text", "shingles", "n_shingles",
+                 "sh_hash")
+    return checkpoint(d) if materialize else d
 
 
 def funnel(df: DataFrame, p: NearDupParams = V2) -> DataFrame:
@@ -109,7 +118,9 @@ def pairs_exact(df: DataFrame, p: NearDupParams = V2, with_text: bool = False,
     on the real shingle sets, exactly (prefix filtering + verification)."""
     prep = prepared if prepared is not None else prepare(df, p)
     s = 1.0 - p.max_distance - 1e-9  # similarity must exceed 1 - max_distance; margin for rounding
-    ex = prep.select(ID, "n_shingles", F.explode("shingles").alias("sh"))
+    # candidates on 64-bit shingle hashes (equal shingles always meet; a
+    # hash collision can only add a candidate, which verification removes)
+    ex = prep.select(ID, "n_shingles", F.explode(F.array_distinct("sh_hash")).alias("sh"))
     dfreq = ex.groupBy("sh").agg(F.count(F.lit(1)).alias("_df"))
     ranked = ex.join(dfreq, "sh").withColumn(
         "_rk", F.row_number().over(Window.partitionBy(ID).orderBy("_df", "sh")))
@@ -133,7 +144,7 @@ def pairs_minhash(df: DataFrame, p: NearDupParams = V2, tables: int = 12, rows_p
     def hash_fn(k):
         return lambda sh: F.xxhash64(sh, F.lit(seed + k))
 
-    sig = prep.select(ID, F.array(*[F.array_min(F.transform("shingles", hash_fn(i)))
+    sig = prep.select(ID, F.array(*[F.array_min(F.transform("sh_hash", hash_fn(i)))
                                     for i in range(n)]).alias("sig"))
     bands = sig.select(ID, F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(tables - 1)),
@@ -152,7 +163,8 @@ def pairs_mllib(df: DataFrame, p: NearDupParams = V2, seed: int = 42, with_text:
     from pyspark.ml.feature import HashingTF, MinHashLSH, NGram
 
     prep = prepared if prepared is not None else prepare(df, p)
-    ng = NGram(n=p.ngram, inputCol="tokens", outputCol="ngrams_all").transform(prep)
+    ng = NGram(n=p.ngram, inputCol="tokens", outputCol="ngrams_all").transform(
+        prep.withColumn("tokens", tokens("clean_review_text")))
     feat = HashingTF(inputCol="ngrams_all", outputCol="features", numFeatures=p.num_features,
                      binary=True).transform(ng).select(ID, *SIDE_COLS, "features")
     # the hash UDF rejects empty vectors; the optimizer may evaluate it ahead

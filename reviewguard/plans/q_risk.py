@@ -29,7 +29,7 @@ def _text_times(uw):
 
 def merged(spark, sf_dir):
     """features_for_ml: daily user windows (+ graph features), one batch."""
-    uw = W.user_windows(events_stream(spark, sf_dir), DAY)
+    uw = checkpoint(W.user_windows(events_stream(spark, sf_dir), DAY))
     g = G.window_graph(uw)
     uf = G.user_features(g["review_windows"], g["targeted_product"])
     sf = Fe.spark_features(_text_times(uw).withColumn("batch_id", F.lit(0)))
