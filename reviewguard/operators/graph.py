@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..schema import USER_GRAPH_FEATURES
 from ..session import checkpoint
+from .pairs import DEFAULT_CHUNK, salted_self_pairs
 
 WINDOW_KEY = ["user_id", "window_start", "window_end"]
 WINDOW_PROPS = ["anonymous_user_id", "low_rating_reviews_by_user_5m", "distinct_products",
@@ -141,20 +142,17 @@ def user_product_edges(targeted: DataFrame) -> DataFrame:
         F.col("user_id").isNotNull() & F.col("product_id").isNotNull()).distinct()
 
 
-def user_pairs(edges: DataFrame, max_degree: int | None = None) -> DataFrame:
+def user_pairs(edges: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """(user1 < user2, common_products): distinct products both reach.
 
-    This is the pair table itself, so its size is the output size. For
-    the per-user features use :func:`pair_features`, which never lists the
-    pairs of a hot product."""
-    e = edges.select("user_id", "product_id")
-    a, b = e.alias("a"), e.alias("b")
-    return (a.join(b, (F.col("a.product_id") == F.col("b.product_id")) & (F.col("a.user_id") < F.col("b.user_id")))
-            .groupBy(F.col("a.user_id").alias("user1"), F.col("b.user_id").alias("user2"))
-            .agg(F.count(F.lit(1)).alias("common_products")))
+    This is the pair table itself, so its size is the output size; a hot
+    product's pairs are produced by many tasks (salted self-join)."""
+    p = salted_self_pairs(edges.select("user_id", "product_id"), "product_id", "user_id", chunk=chunk)
+    return p.groupBy(F.col("a").alias("user1"), F.col("b").alias("user2")).agg(
+        F.count(F.lit(1)).alias("common_products"))
 
 
-def pair_features(edges: DataFrame, max_degree: int | None = None) -> DataFrame:
+def pair_features(edges: DataFrame, max_degree: int | None = None, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """M6 ``num_other_users_shared_products`` and M7
     ``max_common_products_with_any_user`` per user, exactly.
 
@@ -171,6 +169,9 @@ def pair_features(edges: DataFrame, max_degree: int | None = None) -> DataFrame:
       best hot-only overlap |S n T| over other users' signatures T).
 
     ``max_degree=None`` treats every product as light (plain pair join).
+    The light pair join is salted (see ``operators.pairs``): a product with
+    d users is split into ceil(d / chunk) buckets, so its pairs are spread
+    over that many tasks instead of one.
     Users reaching no product shared with anyone are absent, as in the
     graph queries; the caller fills 0.
     """
@@ -183,10 +184,13 @@ def pair_features(edges: DataFrame, max_degree: int | None = None) -> DataFrame:
         light = tagged.filter(F.col("_deg") <= max_degree).select("user_id", "product_id")
         hot = tagged.filter(F.col("_deg") > max_degree).select("user_id", "product_id")
 
-    a, b = light.alias("a"), light.alias("b")
-    lp = (a.join(b, (F.col("a.product_id") == F.col("b.product_id")) & (F.col("a.user_id") != F.col("b.user_id")))
-          .groupBy(F.col("a.user_id").alias("user_id"), F.col("b.user_id").alias("other"))
-          .agg(F.count(F.lit(1)).alias("_light")))
+    # each unordered pair once (salted: a hot product is split over tasks),
+    # counted per pair, then credited to both sides
+    pc = (salted_self_pairs(light, "product_id", "user_id", chunk=chunk)
+          .groupBy("a", "b").agg(F.count(F.lit(1)).alias("_light")))
+    lp = pc.select(F.explode(F.array(
+        F.struct(F.col("a").alias("user_id"), F.col("b").alias("other"), F.col("_light")),
+        F.struct(F.col("b").alias("user_id"), F.col("a").alias("other"), F.col("_light")))).alias("r")).select("r.*")
 
     if hot is None:
         return lp.groupBy("user_id").agg(
@@ -208,10 +212,14 @@ def pair_features(edges: DataFrame, max_degree: int | None = None) -> DataFrame:
     # hot side on distinct signatures
     sigs = sig.groupBy("sig").agg(F.count(F.lit(1)).alias("_n"))
     sh = sigs.select("sig", "_n", F.explode("sig").alias("h"))
-    x, y = sh.alias("x"), sh.alias("y")
-    st = (x.join(y, F.col("x.h") == F.col("y.h"))
-          .groupBy(F.col("x.sig").alias("sig"), F.col("y.sig").alias("tsig"),
-                   F.col("x._n").alias("sn"), F.col("y._n").alias("tn"))
+    # distinct signatures meeting on a hot product (salted), plus each
+    # signature with itself
+    sp = salted_self_pairs(sh, "h", "sig", payload=["_n"], chunk=chunk, ordered=False)
+    same = sh.select("h", F.col("sig").alias("a"), F.col("sig").alias("b"), F.col("_n").alias("_n_a"),
+                     F.col("_n").alias("_n_b"))
+    st = (sp.unionByName(same)
+          .groupBy(F.col("a").alias("sig"), F.col("b").alias("tsig"), F.col("_n_a").alias("sn"),
+                   F.col("_n_b").alias("tn"))
           .agg(F.count(F.lit(1)).alias("_ov")))
     per_sig = st.groupBy("sig").agg(
         (F.sum("tn") - 1).alias("_hot_n"),
@@ -228,10 +236,11 @@ def pair_features(edges: DataFrame, max_degree: int | None = None) -> DataFrame:
     return out.filter((F.col("num_other_users_shared_products") > 0))
 
 
-def user_features(windows: DataFrame, targeted: DataFrame, max_degree: int | None = None) -> DataFrame:
+def user_features(windows: DataFrame, targeted: DataFrame, max_degree: int | None = None,
+                  chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """M8: window features left join pair features, nulls -> 0, all double."""
     wf = window_features(windows, targeted)
-    pf = pair_features(user_product_edges(targeted), max_degree)
+    pf = pair_features(user_product_edges(targeted), max_degree, chunk)
     out = wf.join(pf, "user_id", "left")
     return out.select("user_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                    for c in USER_GRAPH_FEATURES])

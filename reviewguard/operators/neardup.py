@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_for_shingles, ngrams, shingle_set, tokens
 from ..session import checkpoint
+from .pairs import DEFAULT_CHUNK, salted_self_pairs
 
 
 @dataclass(frozen=True)
@@ -113,7 +114,7 @@ def _verify(cand: DataFrame, prep: DataFrame, p: NearDupParams) -> DataFrame:
 
 
 def pairs_exact(df: DataFrame, p: NearDupParams = V2, with_text: bool = False,
-                prepared: DataFrame | None = None) -> DataFrame:
+                prepared: DataFrame | None = None, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """All pairs (left id < right id) with Jaccard distance < max_distance
     on the real shingle sets, exactly (prefix filtering + verification)."""
     prep = prepared if prepared is not None else prepare(df, p)
@@ -127,16 +128,18 @@ def pairs_exact(df: DataFrame, p: NearDupParams = V2, with_text: bool = False,
     # prefix length |x| - ceil(s|x|) + 1 keeps every pair with similarity >= s
     plen = F.col("n_shingles") - F.ceil(F.lit(s) * F.col("n_shingles")) + 1
     pref = ranked.filter(F.col("_rk") <= plen).select(ID, "n_shingles", "sh")
-    x, y = pref.alias("x"), pref.alias("y")
-    cand = (x.join(y, (F.col("x.sh") == F.col("y.sh")) & (F.col(f"x.{ID}") < F.col(f"y.{ID}"))
-                   # length filter: s * |big| <= |small|
-                   & (F.least("x.n_shingles", "y.n_shingles") >= F.lit(s) * F.greatest("x.n_shingles", "y.n_shingles")))
-            .select(F.col(f"x.{ID}").alias("a"), F.col(f"y.{ID}").alias("b")).distinct())
+    # texts meeting on a prefix shingle; a shingle in many prefixes is split
+    # over tasks (salted self-join)
+    cand = (salted_self_pairs(pref, "sh", ID, payload=["n_shingles"], chunk=chunk)
+            # length filter: s * |big| <= |small|
+            .filter(F.least("n_shingles_a", "n_shingles_b") >= F.lit(s) * F.greatest("n_shingles_a", "n_shingles_b"))
+            .select("a", "b").distinct())
     return _pair_output(_verify(cand, prep, p), prep, with_text)
 
 
 def pairs_minhash(df: DataFrame, p: NearDupParams = V2, tables: int = 12, rows_per_band: int = 1,
-                  seed: int = 17, with_text: bool = False, prepared: DataFrame | None = None) -> DataFrame:
+                  seed: int = 17, with_text: bool = False, prepared: DataFrame | None = None,
+                  chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Banded MinHash candidates (``tables`` bands of ``rows_per_band``
     hashes), verified exactly; a subset of :func:`pairs_exact`."""
     prep = prepared if prepared is not None else prepare(df, p)
@@ -149,10 +152,9 @@ def pairs_minhash(df: DataFrame, p: NearDupParams = V2, tables: int = 12, rows_p
     bands = sig.select(ID, F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(tables - 1)),
         lambda b: F.xxhash64(F.slice("sig", b * rows_per_band + 1, rows_per_band)))).alias("band", "bv"))
-    x, y = bands.alias("x"), bands.alias("y")
-    cand = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.bv") == F.col("y.bv"))
-                   & (F.col(f"x.{ID}") < F.col(f"y.{ID}")))
-            .select(F.col(f"x.{ID}").alias("a"), F.col(f"y.{ID}").alias("b")).distinct())
+    # one bucket key per (band, value); a collision only adds candidates
+    bk = bands.select(ID, F.xxhash64("band", "bv").alias("_bk"))
+    cand = salted_self_pairs(bk, "_bk", ID, chunk=chunk).select("a", "b").distinct()
     return _pair_output(_verify(cand, prep, p), prep, with_text)
 
 

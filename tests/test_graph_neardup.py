@@ -33,10 +33,17 @@ def test_pair_features_all_routes_equal_brute_force(spark):
         edges |= {(f"u{u}", "p0"), (f"u{u}", "p1")}
     df = spark.createDataFrame(sorted(edges), "user_id string, product_id string")
     m6, m7 = brute_pairs(edges)
-    for md in (None, 1, 3, 10, 1000):
+    for md, chunk in ((None, 4096), (None, 3), (1, 2), (3, 4096), (10, 5), (1000, 4096)):
         got = {r.user_id: (r.num_other_users_shared_products, r.max_common_products_with_any_user)
-               for r in G.pair_features(df, max_degree=md).collect()}
-        assert got == {u: (m6[u], m7[u]) for u in m6}, md
+               for r in G.pair_features(df, max_degree=md, chunk=chunk).collect()}
+        assert got == {u: (m6[u], m7[u]) for u in m6}, (md, chunk)
+    pairs = {(r.user1, r.user2): r.common_products for r in G.user_pairs(df, chunk=3).collect()}
+    by_user = {}
+    for u, p in edges:
+        by_user.setdefault(u, set()).add(p)
+    exp = {(a, b): len(by_user[a] & by_user[b]) for a, b in itertools.combinations(sorted(by_user), 2)
+           if by_user[a] & by_user[b]}
+    assert pairs == exp
 
 
 def _shingles(text):
@@ -74,6 +81,8 @@ def test_exact_neardup_equals_brute_force(spark):
                     exp.add((a, b))
         got = {(r.review_id_left, r.review_id_right) for r in N.pairs_exact(df, p).collect()}
         assert got == exp
+        got = {(r.review_id_left, r.review_id_right) for r in N.pairs_exact(df, p, chunk=2).collect()}
+        assert got == exp
         lsh = {(r.review_id_left, r.review_id_right) for r in N.pairs_minhash(df, p).collect()}
         assert lsh <= exp
     assert spark.range(1).select(clean_for_shingles(__import__("pyspark.sql.functions", fromlist=["lit"])
