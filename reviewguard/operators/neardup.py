@@ -122,7 +122,9 @@ def pairs_exact(df: DataFrame, p: NearDupParams = V2, with_text: bool = False,
     # candidates on 64-bit shingle hashes (equal shingles always meet; a
     # hash collision can only add a candidate, which verification removes)
     ex = prep.select(ID, "n_shingles", F.explode(F.array_distinct("sh_hash")).alias("sh"))
-    dfreq = ex.groupBy("sh").agg(F.count(F.lit(1)).alias("_df"))
+    dfreq = checkpoint(ex.groupBy("sh").agg(F.count(F.lit(1)).alias("_df")))
+    # the document frequency bounds how many prefixes share a shingle
+    max_df = int(dfreq.agg(F.max("_df")).first()[0] or 0)
     ranked = ex.join(dfreq, "sh").withColumn(
         "_rk", F.row_number().over(Window.partitionBy(ID).orderBy("_df", "sh")))
     # prefix length |x| - ceil(s|x|) + 1 keeps every pair with similarity >= s
@@ -130,7 +132,7 @@ def pairs_exact(df: DataFrame, p: NearDupParams = V2, with_text: bool = False,
     pref = ranked.filter(F.col("_rk") <= plen).select(ID, "n_shingles", "sh")
     # texts meeting on a prefix shingle; a shingle in many prefixes is split
     # over tasks (salted self-join)
-    cand = (salted_self_pairs(pref, "sh", ID, payload=["n_shingles"], chunk=chunk)
+    cand = (salted_self_pairs(pref, "sh", ID, payload=["n_shingles"], chunk=chunk, max_degree=max_df)
             # length filter: s * |big| <= |small|
             .filter(F.least("n_shingles_a", "n_shingles_b") >= F.lit(s) * F.greatest("n_shingles_a", "n_shingles_b"))
             .select("a", "b").distinct())

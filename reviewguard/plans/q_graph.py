@@ -192,4 +192,4 @@ def q_user_pairs_lineitem(spark, sf_dir):
     r = with_pseudonym(event_time(reviews_li(spark, sf_dir)))
     uw = W.user_windows(r, W.WindowParams(duration="30 days"))
     g = G.window_graph(uw)
-    return G.pair_features(G.user_product_edges(g["targeted_product"]), max_degree=12)
+    return G.pair_features(G.user_product_edges(g["targeted_product"]))
