@@ -9,7 +9,9 @@ Texts are cleaned, tokenised and turned into sets of distinct word
   one of the first |x| - ceil(s|x|) + 1 shingles of each, so only those
   prefixes are joined. Candidates are verified on the real shingle sets.
   A boilerplate shingle lands in a prefix only when a text has nothing
-  rarer, so frequent shingles do not multiply the join.
+  rarer, so frequent shingles do not multiply the join. Shingle sets are
+  compared as sets of 64-bit hashes (a collision, about n^2 / 2^65 for
+  two texts of n shingles, could only raise a similarity).
 * ``pairs_minhash`` -- banded MinHash on xxhash64 of the shingles, verified
   exactly (a subset of the exact pairs).
 * ``pairs_mllib`` -- MLlib HashingTF + MinHashLSH.approxSimilarityJoin on
@@ -23,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_for_shingles, ngrams, shingle_set, tokens
+from ..functions.text import clean_for_shingles, ngrams, tokens
 from ..session import checkpoint
 from .pairs import DEFAULT_CHUNK, salted_self_pairs
 
@@ -60,12 +62,17 @@ def prepare(df: DataFrame, p: NearDupParams = V2, materialize: bool = True) -> D
         d = d.filter(F.col("rating") <= p.low_cut)
     d = d.withColumn("clean_review_text", clean_for_shingles("review_text")).filter(
         F.col("clean_review_text") != "")
-    d = d.withColumn("tokens", tokens("clean_review_text")).filter(F.size("tokens") >= p.min_tokens)
-    d = d.withColumn("shingles", shingle_set("tokens", p.ngram)).filter(F.size("shingles") > 0)
-    d = d.withColumn("n_shingles", F.size("shingles")).withColumn(
-        "sh_hash", F.transform("shingles", lambda x: F.xxhash64(x)))
-    d = d.select(ID, *[c for c in SIDE_COLS if c in d.columns], "clean_review_text", "shingles", "n_shingles",
-                 "sh_hash")
+    # at least min_tokens tokens, and at least one n-gram (>= ngram tokens);
+    # both are cheap filters on the token count. (A filter on the n-gram
+    # array itself would be pushed below the projection and recompute it.)
+    d = d.withColumn("tokens", tokens("clean_review_text")).filter(
+        F.size("tokens") >= max(p.min_tokens, p.ngram))
+    # the shingle set is kept as distinct 64-bit hashes: set operations on
+    # long arrays use hash sets (linear), on string arrays nested loops
+    # (quadratic in a 20,000-word text)
+    d = d.withColumn("sh_hash", F.array_distinct(F.transform(ngrams("tokens", p.ngram), lambda x: F.xxhash64(x))))
+    d = d.withColumn("n_shingles", F.size("sh_hash"))
+    d = d.select(ID, *[c for c in SIDE_COLS if c in d.columns], "clean_review_text", "n_shingles", "sh_hash")
     return checkpoint(d) if materialize else d
 
 
@@ -103,7 +110,7 @@ def _pair_output(pairs: DataFrame, prep: DataFrame, with_text: bool) -> DataFram
 
 
 def _verify(cand: DataFrame, prep: DataFrame, p: NearDupParams) -> DataFrame:
-    s = prep.select(ID, "shingles", "n_shingles")
+    s = prep.select(ID, F.col("sh_hash").alias("shingles"), "n_shingles")
     sa = s.select(F.col(ID).alias("a"), F.col("shingles").alias("sa"), F.col("n_shingles").alias("na"))
     sb = s.select(F.col(ID).alias("b"), F.col("shingles").alias("sb"), F.col("n_shingles").alias("nb"))
     v = cand.join(sa, "a").join(sb, "b")
@@ -119,9 +126,7 @@ def pairs_exact(df: DataFrame, p: NearDupParams = V2, with_text: bool = False,
     on the real shingle sets, exactly (prefix filtering + verification)."""
     prep = prepared if prepared is not None else prepare(df, p)
     s = 1.0 - p.max_distance - 1e-9  # similarity must exceed 1 - max_distance; margin for rounding
-    # candidates on 64-bit shingle hashes (equal shingles always meet; a
-    # hash collision can only add a candidate, which verification removes)
-    ex = prep.select(ID, "n_shingles", F.explode(F.array_distinct("sh_hash")).alias("sh"))
+    ex = prep.select(ID, "n_shingles", F.explode("sh_hash").alias("sh"))
     dfreq = checkpoint(ex.groupBy("sh").agg(F.count(F.lit(1)).alias("_df")))
     # the document frequency bounds how many prefixes share a shingle
     max_df = int(dfreq.agg(F.max("_df")).first()[0] or 0)
