@@ -20,6 +20,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def last_version(spark: SparkSession, root: str, below: int) -> int | None:
+    """Highest batch id with a version folder under ``root`` that is below
+    ``below`` (a directory listing; nothing is read)."""
+    if not _exists(spark, root):
+        return None
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    best = None
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id="):
+            b = int(name.split("=", 1)[1])
+            if b < below and (best is None or b > best):
+                best = b
+    return best
+
+
+def read_last(spark: SparkSession, root: str, schema: StructType, below: int) -> DataFrame:
+    """The newest complete version below ``below`` (empty when none)."""
+    b = last_version(spark, root, below)
+    if b is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/batch_id={b}")
+
+
 def write_version(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
