@@ -3,9 +3,12 @@ update + upsert, H3).
 
 A batch is aggregated on its own (partial counts, product sets, spam
 max); only the keys it touches are read back from the state, merged and
-written as this batch's version. The current table is the latest version
-per key, which equals what complete mode would print, while each trigger
-writes only the changed windows instead of the whole table."""
+written as this batch's delta. The current table is the latest row per
+key, which equals what complete mode would print, while each trigger
+writes only the changed windows instead of the whole table. Every
+``snapshot_every`` batches the current table is also written whole
+(``snapshots/batch_id=<n>``), so a read takes the newest snapshot plus the
+deltas after it and never the whole history."""
 
 from __future__ import annotations
 
@@ -14,7 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from ..operators import windows as W
-from .state import latest_per_key, read_versions, write_version
+from .state import last_version, latest_per_key, read_versions, write_version
+
+SNAPSHOT_EVERY = 16
 
 KEY = ["window_start", "window_end", "user_id", "anonymous_user_id"]
 STATE_SCHEMA = StructType([
@@ -35,11 +40,24 @@ def batch_partials(rows: DataFrame, p: W.WindowParams) -> DataFrame:
                     "anonymous_user_id", "low_rating_reviews_by_user_5m", "product_ids", "source_spam_label")
 
 
-def upsert(rows: DataFrame, root: str, batch_id: int, p: W.WindowParams) -> DataFrame:
+def state_as_of(spark, root: str, upto: int) -> DataFrame:
+    """Latest row per key over batches <= upto: newest snapshot <= upto plus
+    the deltas after it."""
+    snap = last_version(spark, f"{root}/snapshots", upto + 1)
+    deltas = read_versions(spark, f"{root}/deltas", STATE_SCHEMA, upto=upto)
+    if snap is None:
+        return latest_per_key(deltas, KEY).drop("batch_id")
+    base = spark.read.schema(STATE_SCHEMA).parquet(f"{root}/snapshots/batch_id={snap}").withColumn(
+        "batch_id", F.lit(snap).cast("long"))
+    return latest_per_key(base.unionByName(deltas.filter(F.col("batch_id") > snap)), KEY).drop("batch_id")
+
+
+def upsert(rows: DataFrame, root: str, batch_id: int, p: W.WindowParams,
+           snapshot_every: int = SNAPSHOT_EVERY) -> DataFrame:
     """Merge a batch into the state; returns the changed windows (with flags)."""
     spark = rows.sparkSession
     part = batch_partials(rows, p)
-    prev = latest_per_key(read_versions(spark, root, STATE_SCHEMA, below=batch_id), KEY).drop("batch_id")
+    prev = state_as_of(spark, root, batch_id - 1)
     touched = prev.join(part.select(*KEY), KEY, "left_semi")
     a, b = part.alias("a"), touched.alias("b")
     m = a.join(b, KEY, "left").select(
@@ -51,8 +69,10 @@ def upsert(rows: DataFrame, root: str, batch_id: int, p: W.WindowParams) -> Data
         F.greatest(F.col("a.source_spam_label"), F.coalesce(F.col("b.source_spam_label"), F.lit(0))).alias(
             "source_spam_label"),
     )
-    write_version(m, root, batch_id)
-    return current_view(spark.read.parquet(f"{root}/batch_id={batch_id}"), p)
+    write_version(m, f"{root}/deltas", batch_id)
+    if snapshot_every and (batch_id + 1) % snapshot_every == 0:
+        write_version(state_as_of(spark, root, batch_id), f"{root}/snapshots", batch_id)
+    return current_view(spark.read.schema(STATE_SCHEMA).parquet(f"{root}/deltas/batch_id={batch_id}"), p)
 
 
 def current_view(state: DataFrame, p: W.WindowParams) -> DataFrame:
@@ -66,5 +86,4 @@ def current_view(state: DataFrame, p: W.WindowParams) -> DataFrame:
 
 
 def current(spark, root: str, p: W.WindowParams, upto: int | None = None) -> DataFrame:
-    st = latest_per_key(read_versions(spark, root, STATE_SCHEMA, upto=upto), KEY).drop("batch_id")
-    return current_view(st, p)
+    return current_view(state_as_of(spark, root, upto if upto is not None else 2 ** 62), p)
