@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import windows as W
-from ..operators.wire import stream_events, to_wire_json
+from ..operators.wire import event_time, stream_events, to_wire_json, with_pseudonym
 from ..sources.tables import REVIEWS_EV_SQL, reviews_ev
 from .registry import query, with_ctes
 
@@ -21,9 +21,14 @@ def joined(c: str) -> F.Column:
     return F.nullif(F.array_join(F.array_sort(F.col(c)), ","), F.lit("")).alias(c)
 
 
-def events_stream(spark, sf_dir) -> DataFrame:
-    """reviews_ev sent through the wire and parsed back, as the consumer sees it."""
-    return stream_events(to_wire_json(reviews_ev(spark, sf_dir)))
+def events_stream(spark, sf_dir, via_wire: bool = False) -> DataFrame:
+    """Consumer view of the events reviews: strict event time, valid rows,
+    pseudonym. ``via_wire`` sends them through JSON and parses them back,
+    exactly as the streaming consumer sees them; batch analytics read the
+    table directly (same rows and values, no encode/decode work)."""
+    if via_wire:
+        return stream_events(to_wire_json(reviews_ev(spark, sf_dir)))
+    return with_pseudonym(event_time(reviews_ev(spark, sf_dir)))
 
 
 def user_windows_out(df: DataFrame) -> DataFrame:
@@ -110,7 +115,7 @@ SELECT review_id, user_id, product_id, rating, review_text, timestamp, label, so
        strftime(event_time, '%Y-%m-%d %H:%M:%S.%g') AS event_time, anonymous_user_id
 FROM parsed_ev"""))
 def q_parse_events(spark, sf_dir):
-    df = events_stream(spark, sf_dir)
+    df = events_stream(spark, sf_dir, via_wire=True)
     return df.select("review_id", "user_id", "product_id", "rating", "review_text", "timestamp",
                      "label", "source", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSS").alias("event_time"),
                      "anonymous_user_id")
