@@ -66,6 +66,19 @@ def upsert_window_graph(w: DataFrame, batch_col: str | None = "batch_id") -> dic
             "active_in_window": active, "targeted_product": targeted}
 
 
+def save_graph(g: dict[str, DataFrame], root: str, mode: str = "overwrite") -> None:
+    """Persist node and edge tables (one parquet table each) -- the stored
+    graph that later feature jobs read instead of a graph server."""
+    for name, df in g.items():
+        df.write.mode(mode).parquet(f"{root}/{name}")
+
+
+def load_graph(spark, root: str, names: tuple[str, ...] = ("users", "review_windows", "products",
+                                                            "active_in_window", "targeted_product")) -> dict[str, DataFrame]:
+    """Read a stored graph back as DataFrames (graph query source)."""
+    return {n: spark.read.parquet(f"{root}/{n}") for n in names}
+
+
 def graph_long(g: dict[str, DataFrame]) -> DataFrame:
     """All node and edge tables in one long table (kind + key columns)."""
     cols = ["user_id", "window_start", "window_end", "product_id"]

@@ -44,6 +44,17 @@ def q_dgim_buckets(spark, sf_dir):
     return b.select("stream_key", "size", "end", "events")
 
 
+@query("dgim_bucket_list", with_ctes(*dgim_sql_ctes(key_sql="product_id"), body="""
+SELECT stream_key, string_agg(CAST(size AS VARCHAR) || ':' || CAST("end" AS VARCHAR), ',' ORDER BY c) AS buckets
+FROM bke GROUP BY stream_key"""))
+def q_dgim_bucket_list(spark, sf_dir):
+    b, _, _ = _dgim(spark, sf_dir, F.col("product_id"))
+    lst = D.bucket_arrays(b)
+    return lst.select("stream_key", F.array_join(F.transform(
+        "buckets", lambda x: F.concat(x["size"].cast("string"), F.lit(":"), x["end"].cast("string"))), ",")
+        .alias("buckets"))
+
+
 def estimate_sql(textbook: bool, key_sql: str = "'all'", k: int = 100) -> str:
     if textbook:
         agg = f"""sum(CASE WHEN "end" > events - {k} THEN size ELSE 0 END)
