@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import NumericType
 
 from ..schema import USER_WINDOW_MEASURES
+from .dedupe import keep_max
 
 KEY = ["user_id", "window_start", "window_end"]
 SPARK_FEATURES = KEY + ["low_rating_reviews_by_user_5m", "distinct_products", "num_products_in_window",
@@ -23,8 +23,7 @@ def require(df: DataFrame, cols: list[str]) -> DataFrame:
 def latest(batches: DataFrame, batch_col: str = "batch_id", key: list[str] = KEY) -> DataFrame:
     """One row per key: the row of the highest batch id (a replayed or stale
     batch never wins over a newer one)."""
-    w = Window.partitionBy(*key).orderBy(F.col(batch_col).desc())
-    return batches.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return keep_max(batches, key, [batch_col])
 
 
 def spark_features(batches: DataFrame, batch_col: str = "batch_id") -> DataFrame:

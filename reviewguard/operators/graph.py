@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import USER_GRAPH_FEATURES
 from ..session import checkpoint
+from .dedupe import keep_max
 from .pairs import DEFAULT_CHUNK, salted_self_pairs
 
 WINDOW_KEY = ["user_id", "window_start", "window_end"]
@@ -48,12 +49,12 @@ def upsert_window_graph(w: DataFrame, batch_col: str | None = "batch_id") -> dic
     latest batch per key (SET overwrites), edges accumulate (MERGE never
     deletes). ``w`` holds window rows with text times and ``product_ids``."""
     if batch_col:
-        win = Window.partitionBy(*WINDOW_KEY).orderBy(F.col(batch_col).desc())
-        latest = w.withColumn("_rn", F.row_number().over(win)).filter("_rn = 1").drop("_rn")
-        uwin = Window.partitionBy("user_id").orderBy(F.col(batch_col).desc(), F.col("window_start").desc())
-        users = (w.select("user_id", "anonymous_user_id", batch_col, "window_start")
-                 .withColumn("_rn", F.row_number().over(uwin)).filter("_rn = 1")
-                 .select("user_id", "anonymous_user_id"))
+        latest = keep_max(w, WINDOW_KEY, [batch_col])
+        # latest pseudonym per user as an aggregate (partial per task), so a
+        # user with a huge number of windows is never gathered in one task
+        users = w.groupBy("user_id").agg(
+            F.max_by("anonymous_user_id", F.struct(F.col(batch_col), F.col("window_start"))).alias(
+                "anonymous_user_id"))
     else:
         latest = w
         users = w.groupBy("user_id").agg(F.max("anonymous_user_id").alias("anonymous_user_id"))
@@ -109,10 +110,7 @@ def review_graph(reviews: DataFrame) -> dict[str, DataFrame]:
         F.coalesce(F.col("label").cast("bigint").cast("string"), F.lit("")).alias("label"),
         F.col("source").cast("string").alias("source"),
     )
-    key = ["user_id", "product_id", "review_id"]
-    win = Window.partitionBy(*key).orderBy(F.col("timestamp").desc_nulls_last(),
-                                           F.col("review_text").desc_nulls_last())
-    edges = r.withColumn("_rn", F.row_number().over(win)).filter("_rn = 1").drop("_rn")
+    edges = keep_max(r, ["user_id", "product_id", "review_id"], ["timestamp", "review_text"])
     return {"users": r.select("user_id").distinct(), "products": r.select("product_id").distinct(),
             "reviewed": edges}
 

@@ -8,10 +8,12 @@ id not above the batch being processed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..operators.dedupe import keep_max
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -65,5 +67,4 @@ def read_versions(spark: SparkSession, root: str, schema: StructType, upto: int
 
 
 def latest_per_key(df: DataFrame, key: list[str], batch_col: str = "batch_id") -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(F.col(batch_col).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return keep_max(df, key, [batch_col])
