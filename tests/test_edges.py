@@ -58,6 +58,8 @@ def test_clean_for_storage_and_ngrams(spark):
                                 (None,), ("&amp;lt;",)], "t string")
     got = [r[0] for r in df.select(clean_for_storage("t")).collect()]
     assert got == ["great cheap item bold 5", None, None, "lt"]
+    ent = spark.createDataFrame([("caf&eacute; &#65;&#x42; &amp;lt;i&amp;gt;",)], "t string")
+    assert ent.select(clean_for_storage("t", entities="full")).first()[0] == "caf ab lt i gt"
     t = spark.createDataFrame([("a b c d",), ("a b",)], "s string").select(ngrams(tokens("s"), 3).alias("g"))
     assert [r.g for r in t.collect()] == [["a b c", "b c d"], []]
 
