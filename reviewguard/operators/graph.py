@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..schema import USER_GRAPH_FEATURES
 from ..session import checkpoint
 from .dedupe import keep_max
+from .positions import row_positions
 from .pairs import DEFAULT_CHUNK, salted_self_pairs
 
 WINDOW_KEY = ["user_id", "window_start", "window_end"]
@@ -179,6 +180,10 @@ def pair_features(edges: DataFrame, max_degree: int | None = None, chunk: int =
     * M7(u) = max(light partners' light + hot overlap,
       best hot-only overlap |S n T| over other users' signatures T).
 
+    Users get dense long ids first (distributed row positions, exact), so
+    the pair counts are hashed on two longs, not two strings; the user id is
+    attached back at the end.
+
     ``max_degree=None`` treats every product as light (plain pair join).
     The light pair join is salted (see ``operators.pairs``): a product with
     d users is split into ceil(d / chunk) buckets, so its pairs are spread
@@ -186,7 +191,14 @@ def pair_features(edges: DataFrame, max_degree: int | None = None, chunk: int =
     Users reaching no product shared with anyone are absent, as in the
     graph queries; the caller fills 0.
     """
-    e = edges.select("user_id", "product_id")
+    ids = row_positions(edges.select("user_id").distinct(), ["user_id"], out_col="_uid")
+    e = edges.join(ids, "user_id").select(F.col("_uid").alias("user_id"), "product_id")
+    out = _pair_features_ids(e, max_degree, chunk)
+    return out.withColumnRenamed("user_id", "_uid").join(ids, "_uid").select(
+        "user_id", "num_other_users_shared_products", "max_common_products_with_any_user")
+
+
+def _pair_features_ids(e: DataFrame, max_degree: int | None, chunk: int) -> DataFrame:
     if max_degree is None:
         light, hot = e, None
     else:
