@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
+from ..session import checkpoint
+
 # The 12 model features, in this order.
 FEATURES = [
     "low_rating_reviews_by_user_5m", "distinct_products", "num_products_in_window", "num_windows",
@@ -179,7 +181,9 @@ def score(df: DataFrame, nodes: DataFrame, features: list[str] = FEATURES, max_s
     x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(features)]
     src = df.select("*", *x)
     schema = StructType(df.schema.fields + [StructField("_raw", DoubleType())])
-    raw = src.mapInPandas(run, schema)
+    # the scores are written once: the offset's quantile and the final
+    # projection both read them, instead of running the Python scoring twice
+    raw = checkpoint(src.mapInPandas(run, schema))
     cont = contamination_value if contamination_value is not None else contamination(df, label)
     offset = raw.select(F.percentile_approx("_raw", cont, accuracy)).scalar()
     out = raw.withColumn("_off", offset)

@@ -75,20 +75,21 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def correlation(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns in one
-    aggregate, as a long table (a, b, corr); undefined (constant column)
-    -> null."""
+    """Pearson correlation of every pair of numeric columns, as a long
+    table (a, b, corr); undefined (constant column) -> null.
+
+    Each row is exploded into one (a, b, x, y) per column pair and a single
+    grouped aggregate runs per pair: partial aggregation leaves at most one
+    row per pair and task before the shuffle, and the generated code stays
+    small however many columns there are."""
     cols = cols or numeric_columns(df)
     pairs = list(combinations(cols, 2))
-    def pearson(a, b):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        # zero variance -> null (ANSI mode would raise inside corr)
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-    agg = df.agg(*[pearson(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{i}").alias("corr"))
-                     for i, (a, b) in enumerate(pairs)])
-    out = agg.select(F.explode(rows).alias("r")).select("r.*")
+    cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"),
+                               F.col(b).cast("double").alias("y")) for a, b in pairs])
+    long = df.select(F.explode(cells).alias("c")).select("c.*")
+    # zero variance -> null (ANSI mode would raise inside corr)
+    r = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
+    out = long.groupBy("a", "b").agg(r.alias("corr"))
     return out.withColumn("corr", F.when(F.isnan("corr"), None).otherwise(F.round("corr", 6)))
 
 
