@@ -75,3 +75,15 @@ def stream_events(df: DataFrame, value_col: str = "value", lenient: bool = False
     """parse -> event time -> valid rows -> pseudonym: the shared head of all
     consumers (the reference's ``clean_df`` plus the pseudonym)."""
     return with_pseudonym(event_time(parse_wire(df, value_col), lenient=lenient))
+
+
+def reject_counts(wire: DataFrame, value_col: str = "value") -> DataFrame:
+    """received / parsed / rejected counts of a wire table in one aggregate:
+    a message is rejected when it is not a JSON object of the schema or its
+    time fails the strict parse (it would be dropped silently otherwise)."""
+    t = event_time(parse_wire(wire, value_col, keep_raw=True), keep_invalid=True)
+    parsed = F.col("review_id").isNotNull() | F.col("timestamp").isNotNull() | F.col("user_id").isNotNull()
+    return t.agg(F.count(F.lit(1)).alias("received"),
+                 F.count_if(F.col("event_time").isNotNull()).alias("accepted"),
+                 F.count_if(~parsed).alias("malformed"),
+                 F.count_if(parsed & F.col("event_time").isNull()).alias("bad_time"))

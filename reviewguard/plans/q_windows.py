@@ -145,3 +145,14 @@ def q_user_windows_v1(spark, sf_dir):
 def q_user_windows_approx(spark, sf_dir):
     p = W.WindowParams(duration="1 day", approx=True)
     return user_windows_out(W.user_windows(events_stream(spark, sf_dir), p))
+
+
+@query("ingest_rejects", with_ctes(REVIEWS_EV_SQL, body="""
+SELECT count(*) AS received,
+       count(*) FILTER (WHERE try_strptime(timestamp, '%Y-%m-%d %H:%M:%S.%g') IS NOT NULL) AS accepted,
+       CAST(0 AS BIGINT) AS malformed,
+       count(*) FILTER (WHERE try_strptime(timestamp, '%Y-%m-%d %H:%M:%S.%g') IS NULL) AS bad_time
+FROM reviews_ev"""))
+def q_ingest_rejects(spark, sf_dir):
+    from ..operators.wire import reject_counts
+    return reject_counts(to_wire_json(reviews_ev(spark, sf_dir)))

@@ -22,6 +22,9 @@ def test_strict_event_time_and_bad_json(spark):
         'not json at all',
         '{"review_id":"e","user_id":"u1","product_id":"p1","rating":"x","timestamp":"2024-01-01 11:00:00.000","label":"1"}',
     ]
+    from reviewguard.operators.wire import reject_counts
+    c = reject_counts(_wire(spark, vals)).first()
+    assert (c.received, c.accepted, c.malformed, c.bad_time) == (6, 2, 1, 3)
     rows = {r.review_id: r for r in stream_events(_wire(spark, vals)).collect()}
     assert set(rows) == {"a", "e"}          # only exactly three fraction digits survive
     assert rows["a"].label == "1" and rows["e"].label == "1"
