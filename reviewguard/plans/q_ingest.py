@@ -176,10 +176,10 @@ def q_valid_records(spark, sf_dir):
 @query("slice_rows", with_ctes(REVIEWS_EV_SQL, """sl AS (
   SELECT * FROM (SELECT *, row_number() OVER (ORDER BY CAST(substr(review_id, 2) AS BIGINT)) AS row_num FROM reviews_ev)
   WHERE row_num BETWEEN 101 AND 5000)""", body=f"""
-SELECT * FROM (SELECT *, row_number() OVER (ORDER BY row_num) AS k FROM sl
-               WHERE {" AND ".join(not_blank_sql(c) for c in A.REQUIRED)}) WHERE k <= 1000"""
-                                 .replace("SELECT * FROM (SELECT *, row_number() OVER (ORDER BY row_num) AS k",
-                                          "SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (ORDER BY row_num) AS k")))
+SELECT * EXCLUDE (k) FROM (
+  SELECT *, row_number() OVER (ORDER BY row_num) AS k FROM sl
+  WHERE {" AND ".join(not_blank_sql(c) for c in A.REQUIRED)})
+WHERE k <= 1000"""))
 def q_slice_rows(spark, sf_dir):
     ev = reviews_ev(spark, sf_dir).withColumn("_ord", F.expr("CAST(substr(review_id, 2) AS BIGINT)"))
     return A.slice_rows(ev, ["_ord"], start_row=101, end_row=5000, max_rows=1000).drop("_ord")

@@ -66,11 +66,9 @@ RISK_CTES = MERGED_CTES + ["mm AS (SELECT " + ", ".join(
 
 
 def risk_sql(body: str) -> str:
-    """Statement over the scored table; a body starting with "," adds CTEs."""
-    body = body.lstrip("\n")
-    if body.startswith(","):
-        return "WITH " + ",\n".join(RISK_CTES) + "\n" + body
-    return "WITH " + ",\n".join(RISK_CTES) + "\n" + body
+    """Statement over the ``scored`` CTE; a body that starts with "," first
+    adds CTEs of its own."""
+    return "WITH " + ",\n".join(RISK_CTES) + "\n" + body.lstrip("\n")
 
 
 @query("feature_latest", with_ctes(*UPSERT_CTES, body="""
@@ -142,12 +140,11 @@ def q_level_means(spark, sf_dir):
     return m.select("risk_level", *[F.round(c, 6).alias(c) for c in Rp.GRAPH_COLS])
 
 
-@query("box_stats", risk_sql("""SELECT risk_level, min(x) AS min, q[1] AS q1, q[2] AS median, q[3] AS q3, max(x) AS max FROM (
-  SELECT risk_level, min(CAST(low_rating_reviews_by_user_5m AS DOUBLE)) AS x,
+@query("box_stats", risk_sql("""SELECT risk_level, mn AS min, q[1] AS q1, q[2] AS median, q[3] AS q3, mx AS max FROM (
+  SELECT risk_level, min(CAST(low_rating_reviews_by_user_5m AS DOUBLE)) AS mn,
          quantile_cont(CAST(low_rating_reviews_by_user_5m AS DOUBLE), [0.25, 0.5, 0.75]) AS q,
-         max(CAST(low_rating_reviews_by_user_5m AS DOUBLE)) AS mx FROM scored GROUP BY risk_level)
-GROUP BY ALL""".replace("min(x) AS min, q[1] AS q1, q[2] AS median, q[3] AS q3, max(x) AS max FROM (",
-                        "x AS min, q[1] AS q1, q[2] AS median, q[3] AS q3, mx AS max FROM (").replace("\nGROUP BY ALL", "")))
+         max(CAST(low_rating_reviews_by_user_5m AS DOUBLE)) AS mx
+  FROM scored GROUP BY risk_level)"""))
 def q_box_stats(spark, sf_dir):
     return Rp.box(scored(spark, sf_dir), "low_rating_reviews_by_user_5m")
 
