@@ -57,8 +57,12 @@ REVIEWS_EV_SQL = """reviews_ev AS (
 
 def reviews_doc(spark: SparkSession, sf_dir: str, n_users: int = 150) -> DataFrame:
     """documents (+ labels.toxic) -> reviews with real text."""
-    docs = read_table(spark, sf_dir, "documents")
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return documents_as_reviews(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def documents_as_reviews(docs: DataFrame, labels: DataFrame, n_users: int = 150) -> DataFrame:
+    """documents (batch or stream) left join labels (static) -> reviews."""
+    labels = labels.select("doc_id", "toxic")
     return docs.join(labels, "doc_id", "left").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("review_id"),
         F.concat(F.lit("u"), F.pmod(F.col("doc_id"), F.lit(n_users)).cast("string")).alias("user_id"),
