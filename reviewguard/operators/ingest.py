@@ -76,12 +76,25 @@ def dedupe_first(df: DataFrame, subset: list[str], order: str) -> DataFrame:
     return g.select(*subset, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
 
 
+def _with_row(raw: DataFrame, order: list[str], id_mode: str) -> tuple[DataFrame, Column]:
+    """(frame with ``_row``, 0-based id text). ``row``: row numbers in
+    ``order`` (one range-partitioned pass); ``hash``: a stable 64-bit hash
+    of the order columns (no ordering pass; ``_row`` is then the order
+    struct, so keep-first still follows ``order``)."""
+    if id_mode == "hash":
+        df = raw.withColumn("_row", F.struct(*[F.col(c) for c in order]))
+        return df, F.lower(F.hex(F.xxhash64(*[F.col(c) for c in order])))
+    df = row_positions(raw, order, out_col="_row")
+    return df, (F.col("_row") - 1).cast("string")
+
+
 def standardize_marketplace(raw: DataFrame, order: list[str], source: str = "amazon",
-                            id_prefix: str = "amz_") -> DataFrame:
+                            id_prefix: str = "amz_", id_mode: str = "row") -> DataFrame:
     """Marketplace corpus -> review table. Ids are row numbers in ``order``
-    taken before any row is dropped; rows without text are dropped; equal
-    texts keep their first row."""
-    df = row_positions(raw, order, out_col="_row")
+    taken before any row is dropped (``id_mode="hash"``: stable hashed ids,
+    no ordering pass); rows without text are dropped; equal texts keep
+    their first row."""
+    df, idx = _with_row(raw, order, id_mode)
     if "timestamp" in df.columns:
         ts = ts_or_default(epoch_to_ts(df, "timestamp"))
     elif "unixReviewTime" in df.columns:
@@ -93,7 +106,7 @@ def standardize_marketplace(raw: DataFrame, order: list[str], source: str = "ama
     rating = num(F.col(next(c for c in RATING_COLS if c in df.columns))) if any(
         c in df.columns for c in RATING_COLS) else F.lit(None).cast("double")
     std = df.select(
-        F.concat(F.lit(id_prefix), (F.col("_row") - 1).cast("string")).alias("review_id"),
+        F.concat(F.lit(id_prefix), idx).alias("review_id"),
         pick(df, USER_COLS, "unknown_user").alias("user_id"),
         pick(df, PRODUCT_COLS, "unknown_product").alias("product_id"),
         rating.alias("rating"),
@@ -115,10 +128,10 @@ def _finish(std: DataFrame) -> DataFrame:
     return dedupe_first(std, ["review_text"], "_row").select(*REVIEW_COLUMNS)
 
 
-def standardize_labelled(raw: DataFrame, order: list[str], source: str = "deceptive_spam") -> DataFrame:
+def standardize_labelled(raw: DataFrame, order: list[str], source: str = "deceptive_spam",
+                         id_mode: str = "row") -> DataFrame:
     """Labelled corpus (CSV or text tree) -> review table."""
-    df = row_positions(raw, order, out_col="_row")
-    idx = (F.col("_row") - 1).cast("string")
+    df, idx = _with_row(raw, order, id_mode)
     text_col = next((c for c in LABELLED_TEXT_COLS if c in df.columns), None)
     text = clean_for_storage(F.col(text_col)) if text_col else F.lit(None).cast("string")
     product = (F.lower(F.trim(F.coalesce(F.col("hotel").cast("string"), F.lit("nan"))))
