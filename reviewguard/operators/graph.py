@@ -193,12 +193,14 @@ def pair_features(edges: DataFrame, max_degree: int | None = None, chunk: int =
     """
     ids = row_positions(edges.select("user_id").distinct(), ["user_id"], out_col="_uid")
     e = edges.join(ids, "user_id").select(F.col("_uid").alias("user_id"), "product_id")
-    out = _pair_features_ids(e, max_degree, chunk)
+    # ids are 1..users; below 2^31 a pair of ids packs into one long key
+    pack = ids.count() < (1 << 31)
+    out = _pair_features_ids(e, max_degree, chunk, pack)
     return out.withColumnRenamed("user_id", "_uid").join(ids, "_uid").select(
         "user_id", "num_other_users_shared_products", "max_common_products_with_any_user")
 
 
-def _pair_features_ids(e: DataFrame, max_degree: int | None, chunk: int) -> DataFrame:
+def _pair_features_ids(e: DataFrame, max_degree: int | None, chunk: int, pack: bool = False) -> DataFrame:
     if max_degree is None:
         light, hot = e, None
     else:
@@ -209,8 +211,13 @@ def _pair_features_ids(e: DataFrame, max_degree: int | None, chunk: int) -> Data
 
     # each unordered pair once (salted: a hot product is split over tasks),
     # counted per pair, then credited to both sides
-    pc = (salted_self_pairs(light, "product_id", "user_id", chunk=chunk)
-          .groupBy("a", "b").agg(F.count(F.lit(1)).alias("_light")))
+    pairs = salted_self_pairs(light, "product_id", "user_id", chunk=chunk)
+    if pack:
+        pc = (pairs.groupBy((F.shiftleft(F.col("a"), 31) + F.col("b")).alias("_ab"))
+              .agg(F.count(F.lit(1)).alias("_light"))
+              .select(F.shiftright(F.col("_ab"), 31).alias("a"), (F.col("_ab") % (1 << 31)).alias("b"), "_light"))
+    else:
+        pc = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_light"))
     lp = pc.select(F.explode(F.array(
         F.struct(F.col("a").alias("user_id"), F.col("b").alias("other"), F.col("_light")),
         F.struct(F.col("b").alias("user_id"), F.col("a").alias("other"), F.col("_light")))).alias("r")).select("r.*")

@@ -1,6 +1,8 @@
 import itertools
 import random
 
+from pyspark.sql import functions as F
+
 from reviewguard.functions.text import clean_for_shingles
 from reviewguard.operators import graph as G
 from reviewguard.operators import neardup as N
@@ -37,6 +39,9 @@ def test_pair_features_all_routes_equal_brute_force(spark):
         got = {r.user_id: (r.num_other_users_shared_products, r.max_common_products_with_any_user)
                for r in G.pair_features(df, max_degree=md, chunk=chunk).collect()}
         assert got == {u: (m6[u], m7[u]) for u in m6}, (md, chunk)
+    ids_e = df.select(F.regexp_extract("user_id", r"(\d+)", 1).cast("long").alias("user_id"), "product_id")
+    packed = sorted(G._pair_features_ids(ids_e, None, 4096, pack=True).collect())
+    assert packed == sorted(G._pair_features_ids(ids_e, None, 4096, pack=False).collect())
     pairs = {(r.user1, r.user2): r.common_products for r in G.user_pairs(df, chunk=3).collect()}
     by_user = {}
     for u, p in edges:
