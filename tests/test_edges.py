@@ -95,3 +95,31 @@ def test_valid_records_and_injection(spark):
     spam = inj.filter("source = 'synthetic_spam'").collect()
     assert all(r.label == 1.0 and r.rating in (1.0, 2.0, 3.0) for r in spam)
     assert all(r.timestamp[:13] in A.SUSPICIOUS_HOURS and len(r.timestamp) == 23 for r in spam)
+
+
+def test_lenient_time_option(spark):
+    vals = ['{"review_id":"b","user_id":"u1","product_id":"p1","rating":3,"timestamp":"2024-01-01 10:00:00"}',
+            '{"review_id":"d","user_id":"u1","product_id":"p1","rating":3,"timestamp":"2024-01-01"}']
+    assert stream_events(_wire(spark, vals)).count() == 0
+    assert stream_events(_wire(spark, vals), lenient=True).count() == 2
+
+
+def test_bloom_state_prior_only(spark):
+    import uuid
+
+    from reviewguard.session import scratch_path
+    from reviewguard.streaming import bloom_state
+
+    root = scratch_path(spark, f"bloom-{uuid.uuid4().hex}")
+    b0 = spark.createDataFrame([("alice",)], "user_id string")
+    b1 = spark.createDataFrame([("bob",)], "user_id string")
+    bloom_state.update(b0, root, 0)
+    bloom_state.update(b1, root, 1)
+    bloom_state.update(b1, root, 1)  # replay
+    from reviewguard.operators import bloom as B
+    probe = spark.createDataFrame([("alice",), ("bob",)], "user_id string")
+    with_own = {r.user_id: r.bloom_seen_before for r in B.might_contain(probe, bloom_state.bits_upto(spark, root, 1)).collect()}
+    prior = {r.user_id: r.bloom_seen_before
+             for r in B.might_contain(probe, bloom_state.bits_upto(spark, root, 1, prior_only=True)).collect()}
+    assert with_own == {"alice": 1, "bob": 1}
+    assert prior["alice"] == 1 and prior["bob"] == 0
