@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.types import NumericType
 
-from ..schema import USER_WINDOW_MEASURES
 from .dedupe import keep_max
 
 KEY = ["user_id", "window_start", "window_end"]
@@ -43,5 +42,3 @@ def merge(window_features: DataFrame, user_features: DataFrame) -> DataFrame:
     j = j.fillna(0, subset=num_cols)
     return j.dropDuplicates(KEY)
 
-
-MEASURES = USER_WINDOW_MEASURES

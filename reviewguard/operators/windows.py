@@ -67,8 +67,3 @@ def flags(df: DataFrame, p: WindowParams = V2) -> DataFrame:
         susp = susp | (F.col("distinct_products") >= p.distinct_flag)
     return out.withColumn("suspicious_user_flag", F.when(susp, 1).otherwise(0))
 
-
-def window_seconds(duration: str) -> int:
-    n, unit = duration.split()
-    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-    return int(n) * mult[unit.rstrip("s")]
