@@ -7,18 +7,47 @@ from pyspark.sql import functions as F
 
 from reviewguard.sources.tables import read_table
 
-from . import simhash
+from . import chat, mixing, simhash, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn=None, sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+    return register(fn) if fn else register
+
+
+def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, weight): 2 for labelled quality 1, 0.5 for 0."""
+    rated = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("q"))
+    return rated.select("doc_id", F.when(F.col("q") == 1, 2.0).when(F.col("q") == 0, 0.5).alias("weight"))
+
+
+@query(sql=chat.ORACLE)
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-1).cast("long"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(chat.HARD))
+    return chat.digests(chat.format_chats(turns.union(hard)))
 
 
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query(sql=mixing.ORACLE)
+def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return mixing.mix(docs, quality_weights(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity_scores(docs, read_table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
