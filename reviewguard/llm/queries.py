@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewguard.sources.tables import read_table
 
-from . import chat, mixing, simhash, toxicity
+from . import chat, mixing, simhash, suffixes, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +51,9 @@ def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.toxicity_scores(docs, read_table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffixes.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans")], F.sha2("_kept", 256).alias("kept_sha256"))
