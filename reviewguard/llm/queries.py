@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewguard.sources.tables import read_table
 
-from . import chat, mixing, simhash, suffixes, toxicity
+from . import chat, mixing, pieces, simhash, suffixes, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -57,3 +57,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = suffixes.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans")], F.sha2("_kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.token_counts(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens")
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_texts(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")

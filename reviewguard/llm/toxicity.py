@@ -27,6 +27,7 @@ DISCOUNT = 0.75
 STRENGTH = 30.0           # pseudo-counts of the shared model in each class
 SLOTS = 1 << 22           # entries of the broadcast table: 4 + 2 bytes each
 CALIBRATION_ROWS = 5_000  # bound of the labelled rows that fit the logistic curve
+LABEL_BITS = 24           # size of the filter of labelled ids, as a power of 2
 FOLDS = 5                 # fold 0 is held out, the last one calibrates, the others are counted
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 EVIDENCE = 2.5            # nats by which a word's log ratio is shrunk: what chance gives to ordinary words
@@ -174,6 +175,23 @@ def mean_ratio(docs: DataFrame, model, text: str, into: str) -> DataFrame:
     return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())]))
 
 
+def maybe_labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (_d, text) whose id may be in ``known`` (_l), so that a join shuffles few other texts.
+
+    A bit filter of 2**LABEL_BITS bits, of which at most 2**LABEL_BITS / 8 bytes come to the driver."""
+    slot = F.xxhash64("_l").bitwiseAND(F.lit((1 << LABEL_BITS) - 1)) + 1
+    flags = np.zeros(1 << LABEL_BITS - 3, np.uint8)
+    for r in known.groupBy(F.bitmap_bucket_number(slot).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).toLocalIterator():
+        flags[(r.b - 1) * len(r.bits):r.b * len(r.bits)] = np.frombuffer(r.bits, np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(flags)
+
+    def keep(batches):
+        for b in batches:
+            s = b.column(2).to_numpy(zero_copy_only=False) & ((1 << LABEL_BITS) - 1)
+            yield b.filter(pa.array(shared.value[s >> 3] >> (s & 7).astype(np.uint8) & 1 > 0))
+    return docs.withColumn("_h", F.xxhash64("_d")).mapInArrow(keep, T.StructType([*docs.schema.fields, T.StructField("_h", T.LongType())])).drop("_h")
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and intercept by Newton steps, with a weak pull towards a threshold of 0.05 and a slope of 100."""
     w, start = np.array([1.0, -5.0]), np.array([1.0, -5.0])
@@ -203,7 +221,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     known = labels.select(F.col(doc_id).alias("_l"), F.col(label).cast("int").alias("toxic")).where("toxic is not null and _l is not null")
     known = known.where(fold(F.col("_l")) > 0).groupBy("_l").agg(F.max("toxic").alias("toxic"))
     base = docs.select(F.col(doc_id).alias("_d"), F.col(text).cast("string").alias("text"))
-    counted = base.where((fold(F.col("_d")) > 0) & (fold(F.col("_d")) < FOLDS - 1)).join(known.where(fold(F.col("_l")) < FOLDS - 1), F.col("_d") == F.col("_l"))
+    train = base.where((fold(F.col("_d")) > 0) & (fold(F.col("_d")) < FOLDS - 1)).withColumn("_d", F.col("_d").cast("string"))
+    known = known.withColumn("_l", F.col("_l").cast("string"))
+    base = base.withColumn("_d", F.col("_d").cast("string"))
+    wanted = known.where(fold(F.col("_l")) < FOLDS - 1)
+    counted = maybe_labelled(train, wanted).join(wanted, F.col("_d") == F.col("_l"))
     grams = saved(gram_counts(counted.select("text", "toxic")), "kn-counts")
     model = spark.sparkContext.broadcast(ratio_table(log_ratios(grams)))
     sample = known.where(fold(F.col("_l")) == FOLDS - 1).orderBy(F.xxhash64("_l"), "_l").limit(CALIBRATION_ROWS)
