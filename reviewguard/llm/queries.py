@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewguard.sources.tables import read_table
 
-from . import chat, mixing, pieces, simhash, suffixes, toxicity
+from . import chat, mixing, mtree, pieces, quality, simhash, suffixes, toxicity, vectors
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -67,3 +67,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_texts(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.quality_scores(docs, read_table(spark, sf_dir, "labels")).select("doc_id", "held_out", "expected_grade", "tail_probability", "selected")
+
+
+@query(sql=mtree.ORACLE)
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
