@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-SCALE, PAGE, SHARD, PIVOTS, SAMPLE, BLOCK = 1024, 64, 4096, 1024, 16_384, 4096
+SCALE, PAGE, SHARD, PIVOTS, SAMPLE, BLOCK = 1024, 512, 4096, 1024, 16_384, 4096
 _EXACT = 2.0**53
 
 
@@ -45,12 +45,6 @@ def matrix(column, dim: int) -> np.ndarray:
     return out
 
 
-def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact inner products: in floats while these hold them, else in longs."""
-    most = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[-1]
-    return (x.astype(np.float64) @ q.astype(np.float64)).astype(np.int64) if most < _EXACT else x @ q
-
-
 def lifted(x: np.ndarray, top: float) -> np.ndarray:
     """Points of the metric space: one coordinate more."""
     f = x.astype(np.float64)
@@ -87,7 +81,9 @@ def build(points: np.ndarray, page: int = PAGE, seed: int = 1) -> list[dict]:
 def search(nodes: list[dict], points: np.ndarray, ints: np.ndarray, ids: np.ndarray, q: np.ndarray, own: int, k: int, bound: float) -> list[tuple[int, int]]:
     """The k best (score, id) of the tree for one query, of those within distance ``bound``; ties to smaller ids."""
     p = np.append(q.astype(np.float64), 0.0)
-    slack = 1e-9 * (1 + float(np.abs(points).max(initial=0)) + float(np.abs(p).max()))
+    length = float(points[0] @ points[0])       # |x|^2 + a^2, the same for every stored point
+    in_floats = length + float(p @ p) < _EXACT   # then no sum of products leaves what floats hold exactly
+    slack = 1e-7 * np.sqrt(1 + length + float(p @ p))
     best: list[tuple[int, int]] = []        # heap of (score, -id)
     queue = [(0.0, 0, float(np.linalg.norm(p - nodes[0]["centre"])))]
     limit = bound + slack
@@ -109,7 +105,9 @@ def search(nodes: list[dict], points: np.ndarray, ints: np.ndarray, ids: np.ndar
         rows = rows[ids[rows] != own]
         if not len(rows):
             continue
-        score = products(ints[rows], q)
+        score = (points[rows, :-1] @ p[:-1]).astype(np.int64) if in_floats else ints[rows] @ q
+        if len(best) == k and int(score.max()) < best[0][0]:
+            continue
         for i in np.lexsort((ids[rows], -score))[:k].tolist():
             entry = (int(score[i]), -int(ids[rows[i]]))
             if len(best) < k:
@@ -119,9 +117,7 @@ def search(nodes: list[dict], points: np.ndarray, ints: np.ndarray, ids: np.ndar
             else:
                 break
         if len(best) == k:
-            i = int(rows[0])
-            top = float(points[i] @ points[i])          # |x|^2 + a^2, the same for every stored point
-            limit = min(limit, np.sqrt(max(top + float(p @ p) - 2 * best[0][0], 0.0)) + slack + 1e-7 * np.sqrt(top + float(p @ p)))
+            limit = min(limit, np.sqrt(max(length + float(p @ p) - 2 * best[0][0], 0.0)) + slack)
     return [(s, -i) for s, i in best]
 
 
