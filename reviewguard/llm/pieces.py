@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-KNOWN_WORDS = 1 << 18     # words whose paths a task keeps
+KNOWN_WORDS = 1 << 16     # words whose paths a task keeps
 
 
 def read_model(path: str = MODEL) -> dict:
@@ -87,7 +87,7 @@ class Transducer:
     def may_follow(self, a: str, b: str) -> bool:
         got = self.follows.get((a, b))
         if got is None:
-            if len(self.follows) > 1 << 20:
+            if len(self.follows) > KNOWN_WORDS:
                 self.follows.clear()
             got = self.follows[a, b] = self.merge(a + b) == [a, b]
         return got
@@ -208,8 +208,8 @@ def encode_texts(docs: DataFrame, model: dict | None = None, text: str = "text")
     def run(batches):
         t = Transducer(shared.value)
         for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
+            for lo in range(0, b.num_rows, 128):
+                part = b.slice(lo, 128)
                 got = [t.encode(x or "") for x in part.column(len(names)).to_pylist()]
                 ids = pa.array([np.array(g, np.int32) for g, _ in got], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, pa.array([len(g) for g, _ in got], pa.int64()), pa.array([bool(ok) for _, ok in got])], [*names, "ids", "n_tokens", "round_trip"])
@@ -237,7 +237,7 @@ def token_counts(docs: DataFrame, model: dict | None = None, text: str = "text")
     def run(batches):
         t = Transducer(shared.value)
         for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
+            for lo in range(0, b.num_rows, 128):
+                part = b.slice(lo, 128)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([t.count(x or "") for x in part.column(len(names)).to_pylist()], pa.int64())], [*names, "n_tokens"])
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields[:-1], T.StructField("n_tokens", T.LongType())]))

@@ -77,20 +77,20 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
             return [(g, *(np.bincount(at, np.concatenate([h[i] for h in held]), len(g)).astype(np.int64) for i in (1, 2)))]
         for b in batches:
             toxic = b.column(1).to_numpy(zero_copy_only=False) == 1
-            for lo, hi, data, offs in text_chunks(b.column(0)):
+            for lo, hi, data, offs in text_chunks(b.column(0), 1 << 20):
                 g = byte_grams(data, offs)
                 bad = np.repeat(toxic[lo:hi], np.diff(offs))
                 u, at = np.unique(g, return_inverse=True)
                 t = np.bincount(at, bad, len(u)).astype(np.int64)
                 held.append((u, t, np.bincount(at, minlength=len(u)) - t))
                 size += len(u)
-            if size > 4_000_000:
+            if size > 1_500_000:
                 held = merged()
                 size = len(held[0][0])
         if held:
             g, t, o = merged()[0]
-            for i in range(0, len(g), 100_000):
-                s = slice(i, i + 100_000)
+            for i in range(0, len(g), 50_000):
+                s = slice(i, i + 50_000)
                 yield pa.RecordBatch.from_arrays([pa.array(g[s].view(np.int64)), pa.array(t[s]), pa.array(o[s])], ["g", "t", "o"])
     return labelled.select(F.col("text").cast("string"), F.col("toxic").cast("int")).mapInArrow(count, "g long, t long, o long").groupBy("g").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
 
@@ -166,7 +166,7 @@ def mean_ratio(docs: DataFrame, model, text: str, into: str) -> DataFrame:
         table, tags = model.value
         for b in batches:
             out = np.zeros(b.num_rows)
-            for lo, hi, data, offs in text_chunks(b.column(place)):
+            for lo, hi, data, offs in text_chunks(b.column(place), 1 << 20):
                 if len(data):
                     slot, tag = _slots(byte_grams(data, offs))
                     r = np.where(tags[slot] == tag, table[slot], np.float32(0))
