@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 KNOWN_WORDS = 1 << 16     # words whose paths a task keeps
@@ -201,6 +203,7 @@ def encode_texts(docs: DataFrame, model: dict | None = None, text: str = "text")
     Whole texts are encoded as the model's own library does. Null and empty texts have no ids. A text
     that holds U+2581 itself doesn't round-trip (the model reads it as a blank). Repeated rows come back
     each; other columns are kept (of the same name: replaced); an empty table gives an empty result."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model or read_model())
     docs = docs.drop("ids", "n_tokens", "round_trip").withColumn("_text", F.col(text).cast("string"))
     names = docs.columns[:-1]
@@ -230,6 +233,7 @@ def decode_ids(rows: DataFrame, model: dict | None = None, ids: str = "ids", int
 
 def token_counts(docs: DataFrame, model: dict | None = None, text: str = "text") -> DataFrame:
     """``docs`` with n_tokens long: the number of pieces of the whole text (null: 0), without making ids."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model or read_model())
     docs = docs.drop("n_tokens").withColumn("_text", F.col(text).cast("string"))
     names = docs.columns[:-1]

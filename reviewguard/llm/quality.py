@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
 from .toxicity import fold
 
 SLOTS = 1 << 17            # hashed features
@@ -93,6 +94,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     With fewer than two grades every text gets the one grade (0 without labels). Repeated rows come back
     each, other columns are kept, an empty table gives an empty result."""
     spark = docs.sparkSession
+    small_batches(spark)
     known = labels.select(F.col(doc_id).alias("_l"), F.col(label).cast("int").alias("_y")).where("_y is not null and _l is not null").groupBy("_l").agg(F.max("_y").alias("_y"))
     sample = known.where(fold(F.col("_l")) > 0).orderBy(F.xxhash64("_l"), "_l").limit(FIT_ROWS)
     rows = docs.select(F.col(doc_id).alias("_d"), F.col(text).cast("string").alias("t")).join(F.broadcast(sample), F.col("_d") == F.col("_l")).select("t", "_y")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, connected, saved
+from .common import components, connected, saved, small_batches
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 TILE = 512
@@ -119,6 +119,7 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     once. Null and blank texts have fingerprint 0 and link like any other. A
     row with a null doc_id takes no part and has a null component_id. Repeated rows come
     back each. Extra columns are ignored; an empty table gives an empty result."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = saved(with_fingerprint(docs, "text", shingle).select("doc_id", F.xxhash64("text").alias("text_hash"), "fp"), "simhash")
     least = saved(rows.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-fp")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved, text_chunks
+from .common import saved, small_batches, text_chunks
 
 ORDER = 6                 # bytes of an n-gram; at most 7 fit a long beside the class
 DISCOUNT = 0.75
@@ -226,6 +226,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     every text gets the start curve. Repeated rows come back each; the other columns are kept
     (a column named held_out, score or predicted is replaced)."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.drop("held_out", "score", "predicted")
     known = labels.select(F.col(doc_id).alias("_l"), F.col(label).cast("int").alias("toxic")).where("toxic is not null and _l is not null")
     known = known.where(fold(F.col("_l")) > 0).groupBy("_l").agg(F.max("toxic").alias("toxic"))
