@@ -19,9 +19,10 @@ TEXT_TS_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MM d, yyyy", "MM dd, yy
 
 
 def num(c) -> Column:
-    """Numeric coercion; anything unparsable becomes null (never an error)."""
+    """Numeric coercion; anything unparsable, NaN or infinite becomes null (never an error)."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.cast("string").try_cast("double")
+    x = c.cast("string").try_cast("double")
+    return F.when(F.abs(x) < float("inf"), x)
 
 
 def _map_words(c: Column, words: dict[str, int]) -> Column:

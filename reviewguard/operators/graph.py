@@ -105,10 +105,10 @@ def review_graph(reviews: DataFrame) -> dict[str, DataFrame]:
         F.col("user_id").cast("string").alias("user_id"),
         F.col("product_id").cast("string").alias("product_id"),
         F.col("review_id").cast("string").alias("review_id"),
-        F.col("rating").cast("double").cast("int").alias("rating"),
+        F.col("rating").cast("double").try_cast("int").alias("rating"),
         F.col("review_text").cast("string").alias("review_text"),
         F.col("timestamp").cast("string").alias("timestamp"),
-        F.coalesce(F.col("label").cast("bigint").cast("string"), F.lit("")).alias("label"),
+        F.coalesce(F.col("label").try_cast("bigint").cast("string"), F.lit("")).alias("label"),
         F.col("source").cast("string").alias("source"),
     )
     edges = keep_max(r, ["user_id", "product_id", "review_id"], ["timestamp", "review_text"])

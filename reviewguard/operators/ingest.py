@@ -58,7 +58,7 @@ def epoch_to_ts(df: DataFrame, col: str, unit: str | None = None) -> Column:
     else:
         is_ms = F.lit(unit == "ms")
     micros = F.when(is_ms, x * 1000).otherwise(x * 1_000_000)
-    from_num = F.timestamp_micros(micros.cast("long"))
+    from_num = F.timestamp_micros(micros.try_cast("long"))
     return F.when(x.isNotNull(), from_num).otherwise(parse_text_ts(F.col(col)))
 
 
