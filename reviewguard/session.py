@@ -41,7 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (a bare test session) a scratch folder is created and registered.
+    (a bare test session) a scratch folder is created and registered,
+    and only on a local master: elsewhere executors would not see it.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -49,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="rg-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
