@@ -25,22 +25,34 @@ def first_available(spark: SparkSession, paths: list[str]) -> str:
     raise FileNotFoundError(f"none of {paths} exists")
 
 
+def _csv_by_header(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """CSV columns bound by the header's names, in whatever order the file has
+    them. Quoted fields may hold newlines and doubled quotes, so a file is
+    read by one task. Files of one path share a header; another one is an
+    error, not a shift of columns."""
+    def opened():
+        return spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    header = opened().csv(path).columns
+    text = StructType([StructField(c, StringType()) for c in header])
+    df = opened().option("enforceSchema", False).schema(text).csv(path)
+    cols = [F.col(f"`{f.name}`") if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields]
+    return df.select(*cols, F.col("_metadata.file_path").alias("_file"))
+
+
 def read_reviews(spark: SparkSession, path: str, schema: StructType = RAW_MARKETPLACE,
-                 fmt: str | None = None, limit: int | None = None) -> DataFrame:
-    """JSON lines (gzip by extension) or CSV with a header, read with a
-    declared all-text schema holding every alternate column; columns the
-    file lacks are null and dropped so that the first-present rule sees the
-    file's own columns only. ``limit`` is the optional ingest cap of the
-    reference (a feature, off by default). Adds ``_file`` and ``_row``
-    (file order) for stable row numbers."""
+                 fmt: str | None = None) -> DataFrame:
+    """JSON lines (gzip by extension) or CSV with a header (columns by name),
+    with every alternate column of the declared all-text schema; columns the
+    file lacks are null, to be dropped by :func:`present_columns` so that the
+    first-present rule sees the file's own columns only. Adds ``_file`` and
+    ``_row`` (file order) for stable row numbers."""
     fmt = fmt or ("csv" if path.lower().endswith((".csv", ".csv.gz")) else "json")
-    r = spark.read.schema(schema)
-    df = r.option("header", True).option("multiLine", False).csv(path) if fmt == "csv" else r.json(path)
-    df = df.withColumn("_file", F.col("_metadata.file_path")).withColumn(
-        "_row", F.monotonically_increasing_id())
-    if limit:
-        df = df.orderBy("_file", "_row").limit(limit)
-    return df
+    if fmt == "csv":
+        df = _csv_by_header(spark, path, schema)
+    else:
+        df = spark.read.schema(schema).json(path).withColumn("_file", F.col("_metadata.file_path"))
+    return df.withColumn("_row", F.monotonically_increasing_id())
 
 
 def present_columns(df: DataFrame, candidates: list[str]) -> DataFrame:

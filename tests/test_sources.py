@@ -37,6 +37,24 @@ def test_read_reviews_jsonl_gzip_and_standardize(spark):
     assert std[1].timestamp == "2020-05-05 14:08:48.000"
 
 
+def test_read_reviews_csv_binds_columns_by_header(spark):
+    d = tempfile.mkdtemp(prefix="rg-csv-")
+    p = os.path.join(d, "reviews.csv")
+    with open(p, "w") as f:
+        f.write("extra,asin,reviewerID,overall,reviewText,unixReviewTime\n"
+                'x,B01,U1,4,"good\nthing, said ""he""",1588687728\n'
+                "y,B02,U2,nan,,1588687729\n"
+                "z,B03,U3,1e400,plain,1e30\n")
+    raw = Rd.read_reviews(spark, p)
+    assert "extra" not in raw.columns
+    raw = Rd.present_columns(raw, [c for c in raw.columns if not c.startswith("_")])
+    rows = {r.reviewerID: r for r in raw.collect()}
+    assert len(rows) == 3 and rows["U1"].asin == "B01" and rows["U1"].reviewText == 'good\nthing, said "he"'
+    std = I.standardize_marketplace(raw, ["_file", "_row"]).orderBy("review_id").collect()
+    assert [(r.user_id, r.product_id, r.rating, r.review_text) for r in std] == [
+        ("U1", "B01", 4.0, "good thing said he"), ("U3", "B03", None, "plain")]
+
+
 def test_labelled_text_tree(spark):
     root = tempfile.mkdtemp(prefix="rg-tree-")
     for sub, name, text in [("deceptive_from_x/fold1", "a.txt", "Fake stay"), ("truthful_y", "b.txt", "Real stay"),
