@@ -167,8 +167,9 @@ def pairs_minhash(df: DataFrame, p: NearDupParams = V2, tables: int = 12, rows_p
 
 def pairs_mllib(df: DataFrame, p: NearDupParams = V2, seed: int = 42, with_text: bool = False,
                 prepared: DataFrame | None = None) -> DataFrame:
-    """HashingTF (binary) + MinHashLSH.approxSimilarityJoin, distance on the
-    hashed sets, as configured in the reference consumer."""
+    """HashingTF (binary) + MinHashLSH.approxSimilarityJoin as candidates,
+    verified on the real shingle sets: shingles that share a hashed slot make
+    no pair. A subset of :func:`pairs_exact`."""
     from pyspark.ml.feature import HashingTF, MinHashLSH, NGram
 
     prep = prepared if prepared is not None else prepare(df, p)
@@ -182,10 +183,9 @@ def pairs_mllib(df: DataFrame, p: NearDupParams = V2, seed: int = 42, with_text:
     model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=p.num_tables,
                        seed=seed).fit(feat)
     j = model.approxSimilarityJoin(feat, feat, p.max_distance, distCol="jaccard_distance")
-    pairs = (j.filter(F.col(f"datasetA.{ID}") < F.col(f"datasetB.{ID}"))
-             .select(F.col(f"datasetA.{ID}").alias("a"), F.col(f"datasetB.{ID}").alias("b"),
-                     "jaccard_distance"))
-    return _pair_output(pairs, prep, with_text)
+    cand = (j.filter(F.col(f"datasetA.{ID}") < F.col(f"datasetB.{ID}"))
+            .select(F.col(f"datasetA.{ID}").alias("a"), F.col(f"datasetB.{ID}").alias("b")))
+    return _pair_output(_verify(cand, prep, p), prep, with_text)
 
 
 def top(pairs: DataFrame, n: int = 20) -> DataFrame:

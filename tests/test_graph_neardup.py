@@ -51,6 +51,16 @@ def test_pair_features_all_routes_equal_brute_force(spark):
     assert pairs == exp
 
 
+def test_mllib_pairs_are_exact_pairs(spark):
+    from conftest import SF
+    from reviewguard.sources.tables import reviews_doc
+    prep = N.prepare(reviews_doc(spark, SF))
+    key = ["review_id_left", "review_id_right", "jaccard_distance"]
+    exact = {tuple(r) for r in N.pairs_exact(None, prepared=prep).select(*key).collect()}
+    got = {tuple(r) for r in N.pairs_mllib(None, prepared=prep).select(*key).collect()}
+    assert exact and got <= exact and len(got) >= 0.9 * len(exact)
+
+
 def _shingles(text):
     import re
     t = re.sub(r"[^a-z0-9\s]", "", text.lower()).strip(" ")
