@@ -9,7 +9,8 @@ length-normalised difference of its two log-likelihoods; a logistic curve fitted
 on training rows of another fold turns it into a score.
 
 Counting, continuation counts and probabilities are Spark aggregates and joins over
-all training texts. What goes to the tasks is a table of fixed size (``SLOTS``).
+all training texts. What goes to the tasks is a table of every counted n-gram (``ratio_table``), 12 to 20
+bytes each; it grows with the distinct n-grams of the labelled texts.
 """
 
 from __future__ import annotations
@@ -25,13 +26,11 @@ from .common import saved, small_batches, text_chunks
 ORDER = 6                 # bytes of an n-gram; at most 7 fit a long beside the class
 DISCOUNT = 0.75
 STRENGTH = 30.0           # pseudo-counts of the shared model in each class
-SLOTS = 1 << 22           # entries of the broadcast table: 4 + 2 bytes each
 CALIBRATION_ROWS = 5_000  # bound of the labelled rows that fit the logistic curve
 LABEL_BITS = 24           # size of the filter of labelled ids, as a power of 2
 FOLDS = 5                 # fold 0 is held out, the last one calibrates, the others are counted
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 EVIDENCE = 2.5            # nats by which a word's log ratio is shrunk: what chance gives to ordinary words
-_FLOOR = 0.01             # a log ratio nearer to 0 counts as 0
 
 
 def fold(doc_id: Column) -> Column:
@@ -60,11 +59,40 @@ def byte_grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return gram[at]
 
 
-def _slots(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _places(gram: np.ndarray, bits: int) -> np.ndarray:
     x = gram * _MIX
     x ^= x >> np.uint64(29)
     x *= _MIX
-    return (x >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64), (x & np.uint64(0xFFFF)).astype(np.uint16)
+    return (x >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def packed_table(gram: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Arrays (first, grams, ratios): all n-grams in the order of their place, and where each place begins.
+
+    There are at least as many places as n-grams, so a place holds one on average; those that share one stand side by side."""
+    bits = max(1, len(gram).bit_length())
+    place = _places(gram, bits)
+    order = np.argsort(place, kind="stable")
+    first = np.zeros((1 << bits) + 1, np.uint32 if len(gram) < 1 << 32 else np.int64)
+    np.cumsum(np.bincount(place, minlength=1 << bits), out=first[1:])
+    return first, gram[order], r[order].astype(np.float32)
+
+
+def look_up(table: tuple[np.ndarray, np.ndarray, np.ndarray], gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each n-gram's log ratio, and whether it is in the table (else 0)."""
+    first, held, ratios = table
+    place = _places(gram, (len(first) - 1).bit_length() - 1)
+    at, end = first[place].astype(np.int64), first[place + 1].astype(np.int64)
+    out, known = np.zeros(len(gram), np.float32), np.zeros(len(gram), bool)
+    left = np.nonzero(at < end)[0]
+    while len(left):
+        same = held[at[left]] == gram[left]
+        hit = left[same]
+        out[hit], known[hit] = ratios[at[hit]], True
+        left = left[~same]
+        at[left] += 1
+        left = left[at[left] < end[left]]
+    return out, known
 
 
 def gram_counts(labelled: DataFrame) -> DataFrame:
@@ -96,7 +124,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 
 
 def log_ratios(grams: DataFrame) -> DataFrame:
-    """(g, r, n): log of toxic over ordinary probability of the n-gram's last byte after its first, and its count."""
+    """(g, r): log of toxic over ordinary probability of the n-gram's last byte after its first."""
     d = F.lit(DISCOUNT)
 
     def suffix(k):
@@ -124,23 +152,13 @@ def log_ratios(grams: DataFrame) -> DataFrame:
 
     def own(c):
         return (F.greatest(F.col(c) - d, F.lit(0.0)) + (d * F.col(f"{c}_kinds") + STRENGTH) * F.col("p")) / (F.col(f"{c}_all") + STRENGTH)
-    return seen.select("g", (F.log(own("t")) - F.log(own("o"))).alias("r"), (F.col("t") + F.col("o")).alias("n"))
+    return seen.select("g", (F.log(own("t")) - F.log(own("o"))).alias("r"))
 
 
-def ratio_table(ratios: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Arrays of ``SLOTS`` log ratios and tags. Of n-grams that share a slot the one with most weight is held;
-    the others count as 0. At most ``SLOTS`` rows of 14 bytes come to the driver."""
-    def place(batches):
-        for b in batches:
-            slot, tag = _slots(b.column(0).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(tag.view(np.int16)), b.column(1), b.column(2)], ["slot", "tag", "r", "n"])
-    placed = ratios.where(F.abs("r") >= _FLOOR).mapInArrow(place, "slot int, tag short, r double, n long")
-    best = placed.groupBy("slot").agg(F.max(F.struct(F.abs(F.col("r")) * F.col("n"), "tag", "r")).alias("b")).select("slot", F.col("b.tag").alias("tag"), F.col("b.r").cast("float").alias("r"))
-    got = best.toArrow()
-    table, tags = np.zeros(SLOTS, np.float32), np.zeros(SLOTS, np.uint16)
-    slot = got["slot"].to_numpy()
-    table[slot], tags[slot] = got["r"].to_numpy(), got["tag"].to_numpy().view(np.uint16)
-    return table, tags
+def ratio_table(ratios: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The packed table of every row of ``ratios`` (g, r); 12 bytes an n-gram come to the driver."""
+    got = ratios.select("g", F.col("r").cast("float").alias("r")).toArrow()
+    return packed_table(got["g"].to_numpy().view(np.uint64), got["r"].to_numpy())
 
 
 def word_means(r: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -163,13 +181,12 @@ def mean_ratio(docs: DataFrame, model, text: str, into: str) -> DataFrame:
     place = docs.columns.index(text)
 
     def score(batches):
-        table, tags = model.value
+        table = model.value
         for b in batches:
             out = np.zeros(b.num_rows)
             for lo, hi, data, offs in text_chunks(b.column(place), 1 << 20):
                 if len(data):
-                    slot, tag = _slots(byte_grams(data, offs))
-                    r = np.where(tags[slot] == tag, table[slot], np.float32(0))
+                    r, _ = look_up(table, byte_grams(data, offs))
                     out[lo:hi] = word_means(r.astype(np.float64), data, offs)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], [*b.schema.names, into])
     return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())]))

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from reviewguard.llm import quality, toxicity
@@ -43,6 +44,26 @@ def test_classifier_edge_rows(spark):
     assert toxicity.toxicity_scores(df.limit(0), labels).count() == 0 and quality.quality_scores(df.limit(0), labels).count() == 0
 
 
+def test_ngram_table_keeps_every_ngram():
+    r = np.random.default_rng(1)
+    grams = r.permutation(np.unique(r.integers(0, 1 << 48, 5_000_000, dtype=np.uint64)))       # more than 2^22
+    held, unseen = grams[:-1000], grams[-1000:]
+    ratio = r.normal(size=len(held)).astype(np.float32)
+    table = toxicity.packed_table(held, ratio)
+    got, known = toxicity.look_up(table, held)
+    assert known.all() and (got == ratio).all()
+    got, known = toxicity.look_up(table, unseen)
+    assert not known.any() and not got.any()
+    none = toxicity.look_up(toxicity.packed_table(held[:0], ratio[:0]), held[:5])
+    assert not none[0].any() and not none[1].any()
+
+
+def test_no_small_ratio_is_left_out(spark):
+    ratios = spark.range(70_000).select(F.col("id").alias("g"), F.when(F.col("id") % 2 == 0, 0.001).otherwise(-3.0).alias("r"), F.lit(1).cast("long").alias("n"))
+    got, known = toxicity.look_up(toxicity.ratio_table(ratios), np.arange(70_000, dtype=np.uint64))
+    assert known.all() and (got == np.where(np.arange(70_000) % 2 == 0, np.float32(0.001), np.float32(-3))).all()
+
+
 def test_ordinal_fit_orders_grades():
     r = np.random.default_rng(0)
     grade = r.integers(0, 4, 400)
