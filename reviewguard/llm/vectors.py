@@ -7,8 +7,8 @@ the nearest candidate first, then only those that no kept neighbour is much near
 lists of a node's shards are united. A query starts at the medoid of each shard of its
 ``probes`` nearest centroids, walks greedily along the united lists and goes on expanding
 every node within reach of the threshold. Hits are verified by cosine in double precision. An
-audit compares the link counts of a sample with brute force over all rows; while recall is below the
-target, more shards are probed.
+audit compares the linked nodes of a sample with brute force over all nodes; while recall is below the
+target, more shards are probed, up to all. If the walks still miss too much there, every shard is compared whole.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from .common import components, connected, saved
 DEGREE, POOL, ALPHA, BEAM, MARGIN = 24, 96, 1.2, 24, 0.05
 OVERLAP, PROBES, CLUSTER, SHARD, CENTROIDS, SAMPLE = 2, 3, 1500, 4096, 1024, 16_384
 AUDIT, TARGET = 64, 0.97
+AUDIT_LINKED, AUDIT_MOST, SMALL = 16, 1024, 8    # linked nodes wanted in the audit, its largest sample, links of a small group's node
 
 
 def unit(column) -> np.ndarray:
@@ -145,15 +146,16 @@ def _search_all(nodes: DataFrame, threshold: float, target: float) -> tuple[Data
         centroids[size > 0] = sums[size > 0] / size[size > 0, None]
     shared = spark.sparkContext.broadcast(centroids)
 
-    def nearest(batches):
-        c = shared.value
-        for b in batches:
-            near = np.argsort(-(unit(b.column(2)) @ c.T), 1, kind="stable").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(near), pa.list_(pa.int32()))], ["node", "copies", "x", "near"])
-    near = saved(nodes.select("node", "copies", "x").mapInArrow(nearest, "node long, copies long, x array<double>, near array<int>")
-                 .withColumn("near", F.slice("near", 1, max(OVERLAP, 4 * PROBES))), "vector-near")
+    def nearest(first, last):
+        """Nodes with their centroids from the ``first``-nearest on, up to ``last``."""
+        def find(batches):
+            c = shared.value
+            for b in batches:
+                near = np.argsort(-(unit(b.column(1)) @ c.T), 1, kind="stable")[:, first:last].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(near), pa.list_(pa.int32()))], ["node", "x", "near"])
+        return nodes.select("node", "x").mapInArrow(find, "node long, x array<double>, near array<int>")
     overlap = min(OVERLAP, len(centroids))
-    held = near.select("node", "copies", "x", F.posexplode(F.slice("near", 1, overlap)).alias("nth", "cluster"))
+    held = saved(nearest(0, overlap).select("node", "x", F.posexplode("near").alias("nth", "cluster")), "vector-near")
     # a row per centroid comes to the driver, CENTROIDS at most
     many = {c.cluster: max(1, -(-c.n // SHARD)) for c in held.groupBy("cluster").agg(F.count("*").alias("n")).collect()}
     split = F.element_at(F.create_map(*[F.lit(int(v)) for c, m in many.items() for v in (c, m)]), F.col("cluster"))
@@ -164,14 +166,16 @@ def _search_all(nodes: DataFrame, threshold: float, target: float) -> tuple[Data
         got = pruned_lists(unit(table["x"]))
         return pa.table({"node": ids, "to": pa.array([ids[g] for g in got], pa.list_(pa.int64()))})
     graph = held.groupBy("cluster", "salt").applyInArrow(lists, "node long, to array<long>").groupBy(F.col("node").alias("g")).agg(F.array_distinct(F.flatten(F.collect_list("to"))).alias("to"))
-    stored = saved(held.join(graph, F.col("node") == F.col("g")).select("cluster", "salt", "node", "copies", "x", "to", (F.col("nth") == 0).alias("home"))
+    stored = saved(held.join(graph, F.col("node") == F.col("g")).select("cluster", "salt", "node", "x", "to", (F.col("nth") == 0).alias("home"))
                    .withColumnsRenamed({"cluster": "c", "salt": "s", "node": "id", "x": "y"}), "vector-graph")
 
-    def run(key, asked, table):
-        out: list[list] = [[], []]
+    def search(asked, table, whole):
+        """Rows (node, to) of the hits and (a, b) of their spanning forest; ``whole``: compare with all that are at home."""
+        found: list[np.ndarray] = [np.zeros(0, np.int64)]
+        of: list[np.ndarray] = [np.zeros(0, np.int64)]
         links: list[list] = [[], []]
         if len(asked) and len(table):
-            ids, copies, home = table["id"].to_numpy(), table["copies"].to_numpy(), table["home"].to_numpy(zero_copy_only=False)
+            ids, home = table["id"].to_numpy(), table["home"].to_numpy(zero_copy_only=False)
             x = unit(table["y"])
             order = np.argsort(ids)
             flat = table["to"].combine_chunks()
@@ -187,37 +191,73 @@ def _search_all(nodes: DataFrame, threshold: float, target: float) -> tuple[Data
             lab = np.arange(len(names))
             mine, theirs = np.searchsorted(names, qid), np.searchsorted(names, ids)
             for lo in range(0, len(q), 256):
-                hit = range_search(x, adj, medoid, q[lo:lo + 256], threshold) & (ids[None, :] != qid[lo:lo + 256, None])
-                out[0] += qid[lo:lo + 256].tolist()
-                out[1] += (hit & home[None, :]).astype(np.int64).dot(copies).tolist()     # a pair counts where the other is at home
+                part = q[lo:lo + 256]
+                hit = (part @ x.T >= threshold) & home[None, :] if whole else range_search(x, adj, medoid, part, threshold)
+                hit &= ids[None, :] != qid[lo:lo + 256, None]
                 a, b = np.nonzero(hit)
+                of.append(qid[lo + a])
+                found.append(ids[b])
                 if len(a):
                     lab = components(len(names), mine[lo + a], theirs[b], lab)
             up = np.nonzero(lab != np.arange(len(names)))[0]
             links = [names[up].tolist(), names[lab[up]].tolist()]
-        m = len(out[0])
-        return pa.table([pa.array(out[0] + [None] * len(links[0]), pa.int64()), pa.array(out[1] + [None] * len(links[0]), pa.int64()), pa.array([None] * m + links[0], pa.int64()), pa.array([None] * m + links[1], pa.int64())],
-                        ["node", "hits", "a", "b"])
-
-    sample = nodes.orderBy(F.hash("node"), "node").limit(AUDIT).select("node", "x").toArrow()
-    asked_x, asked_id = spark.sparkContext.broadcast(unit(sample["x"])), sample["node"].to_pylist()
-
-    def brute(batches):
-        total = np.zeros(len(asked_id), np.int64)
-        for b in batches:
-            hit = (asked_x.value @ unit(b.column(2)).T >= threshold) & (np.array(asked_id)[:, None] != b.column(0).to_numpy()[None, :])
-            total += hit.astype(np.int64) @ b.column(1).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(asked_id, pa.int64()), pa.array(total)], ["node", "hits"])
-    truth = {r.node: r.hits for r in nodes.select("node", "copies", "x").mapInArrow(brute, "node long, hits long").groupBy("node").agg(F.sum("hits").alias("hits")).collect()}
-
-    probes = min(PROBES, len(centroids))
+        none, gap = pa.nulls(sum(map(len, of)), pa.int64()), pa.nulls(len(links[0]), pa.int64())
+        columns = [[np.concatenate(of), gap], [np.concatenate(found), gap], [none, links[0]], [none, links[1]]]
+        return pa.table([pa.chunked_array([pa.array(c, pa.int64()) for c in two], pa.int64()) for two in columns], ["node", "to", "a", "b"])
+
+    def walked(key, asked, table):
+        return search(asked, table, False)
+
+    def compared(key, asked, table):
+        return search(asked, table, True)
+
+    truth = _audit(nodes, n, threshold)
     salts = F.explode(F.sequence(F.lit(0), split - 1)).alias("salt")
+
+    def probed(first, last, how):
+        asked = nearest(first, last).select("node", "x", F.explode("near").alias("cluster")).where(F.col("cluster").isin(list(many))).select("node", "x", "cluster", salts)
+        return saved(asked.groupBy("cluster", "salt").cogroup(stored.groupBy("c", "s")).applyInArrow(how, "node long, to long, a long, b long"), "vector-hits")
+
+    got, done, probes = None, 0, min(PROBES, len(centroids))
     while True:
-        asked = near.select("node", "x", F.explode(F.slice("near", 1, probes)).alias("cluster")).where(F.col("cluster").isin(list(many))).select("node", "x", "cluster", salts)
-        got = saved(asked.groupBy("cluster", "salt").cogroup(stored.groupBy("c", "s")).applyInArrow(run, "node long, hits long, a long, b long"), "vector-hits")
-        hits = got.where("node is not null").groupBy("node").agg(F.sum("hits").alias("hits"))
-        found = {r.node: r.hits for r in hits.where(F.col("node").isin(asked_id)).collect()}
-        recall = sum(min(found.get(i, 0), t) for i, t in truth.items()) / max(1, sum(truth.values()))
-        if recall >= target or probes >= min(len(centroids), 4 * PROBES):
-            return hits, got.where("a is not null").select("a", "b")
-        probes = min(2 * probes, len(centroids), 4 * PROBES)
+        more = probed(done, probes, walked)
+        got = more if got is None else got.union(more)
+        done, probes = probes, min(2 * probes, len(centroids))
+        if _recall(got, truth) >= target:
+            break
+        if done == len(centroids):
+            got = probed(0, done, compared)
+            break
+    # a neighbour found in several shards is one
+    pairs = got.where("node is not null").select("node", "to").distinct()
+    hits = pairs.join(nodes.select(F.col("node").alias("to"), "copies"), "to").groupBy("node").agg(F.sum("copies").alias("hits"))
+    return saved(hits, "vector-counts"), got.where("a is not null").select("a", "b")
+
+
+def _audit(nodes: DataFrame, n: int, threshold: float) -> dict[int, int]:
+    """The true number of linked nodes of a sample's nodes that have any. The sample grows from AUDIT until it has
+    AUDIT_LINKED of them, to AUDIT_MOST."""
+    size = AUDIT
+    while True:
+        sample = nodes.orderBy(F.hash("node"), "node").limit(size).select("node", "x").toArrow()
+        x, ids = nodes.sparkSession.sparkContext.broadcast(unit(sample["x"])), sample["node"].to_numpy()
+
+        def brute(batches, x=x, ids=ids):
+            total = np.zeros(len(ids), np.int64)
+            for b in batches:
+                total += ((x.value @ unit(b.column(1)).T >= threshold) & (ids[:, None] != b.column(0).to_numpy()[None, :])).sum(1)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["node", "hits"])
+        got = nodes.select("node", "x").mapInArrow(brute, "node long, hits long").groupBy("node").agg(F.sum("hits").alias("hits")).where("hits > 0").collect()
+        if len(got) >= AUDIT_LINKED or size >= min(n, AUDIT_MOST):
+            return {r.node: r.hits for r in got}
+        size *= 4
+
+
+def _recall(got: DataFrame, truth: dict[int, int]) -> float:
+    """The lower of the mean shares found of all audited nodes and of those in small groups; nothing to find: 1."""
+    if not truth:
+        return 1.0
+    found = {r.node: r.n for r in got.where(F.col("node").isin(list(truth))).groupBy("node").agg(F.count_distinct("to").alias("n")).collect()}
+    share = {i: found.get(i, 0) / t for i, t in truth.items()}
+    small = [v for i, v in share.items() if truth[i] <= SMALL]
+    return min(sum(v) / len(v) for v in (list(share.values()), small) if v)

@@ -65,6 +65,29 @@ def brute_links(rows, t=0.9):
     return sorted(out.values(), key=str)
 
 
+def test_links_of_many_clusters(spark, monkeypatch):
+    """More centroids than 12, a target of all links: probes grow until every link is found, however many shards that takes."""
+    r = np.random.default_rng(4)
+    monkeypatch.setattr(vectors, "CLUSTER", 30)
+    base = r.normal(size=(300, 6))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    rows = [(i, (base[i % 300] + 0.1 * r.normal(size=6)).astype(np.float32).tolist()) for i in range(1200)]
+    df = spark.createDataFrame([(i, e, 0, "") for i, e in rows], SCHEMA)
+    got = vectors.near_duplicates(df, threshold=0.8, target=1.0).select("vec_id", "n_links", "component_id", "kept")
+    truth = brute_links(rows, 0.8)
+    got = sorted(map(tuple, got.collect()), key=str)
+    assert sum(g[1] for g in got) >= 0.999 * sum(t[1] for t in truth) and all(g[1] <= t[1] for g, t in zip(got, truth))
+
+
+def test_walks_that_miss_give_way_to_whole_shards(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    monkeypatch.setattr(vectors, "CLUSTER", 20)
+    monkeypatch.setattr(vectors, "range_search", lambda x, lists, start, q, threshold: np.zeros((len(q), len(x)), bool))
+    rows = [(i, r.normal(size=3).astype(np.float32).tolist()) for i in range(400)]
+    df = spark.createDataFrame([(i, e, 0, "") for i, e in rows], SCHEMA)
+    assert sorted(map(tuple, vectors.near_duplicates(df).select("vec_id", "n_links", "component_id", "kept").collect()), key=str) == brute_links(rows)
+
+
 def test_near_duplicate_edge_rows(spark):
     r = np.random.default_rng(9)
     base = r.normal(size=(12, 8))
