@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewguard.sources.tables import read_table
 
-from . import chat, mixing, mtree, pieces, quality, simhash, suffixes, toxicity, vectors
+from . import chat, mixing, mtree, pieces, quality, simhash, suffixes, toxicity, vectors, whitening
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -83,3 +83,8 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
