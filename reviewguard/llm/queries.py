@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewguard.sources.tables import read_table
 
-from . import chat, mixing, mtree, pieces, quality, simhash, suffixes, toxicity, vectors, whitening
+from . import chat, mixing, mtree, pieces, quality, simhash, suffixes, toxicity, vectors, warc, whitening
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -88,3 +88,8 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+@query(sql=warc.ORACLE)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
