@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewguard.sources.tables import read_table
 
-from . import chat, mixing, mtree, pieces, quality, simhash, suffixes, toxicity, vectors, warc, whitening
+from . import chat, crosstok, mixing, mtree, pieces, quality, simhash, suffixes, toxicity, vectors, warc, whitening
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -93,3 +93,8 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql=warc.ORACLE)
 def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.align(read_table(spark, sf_dir, "documents"))
