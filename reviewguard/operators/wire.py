@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.hashing import pseudonymize
@@ -87,3 +87,13 @@ def reject_counts(wire: DataFrame, value_col: str = "value") -> DataFrame:
                  F.count_if(F.col("event_time").isNotNull()).alias("accepted"),
                  F.count_if(~parsed).alias("malformed"),
                  F.count_if(parsed & F.col("event_time").isNull()).alias("bad_time"))
+
+
+def observed_rejects(wire: DataFrame, seen: Observation, value_col: str = "value") -> DataFrame:
+    """The accepted messages; the counts of :func:`reject_counts` are taken by ``seen`` as
+    the rows pass, without a second pass over them."""
+    t = event_time(parse_wire(wire, value_col, keep_raw=True), keep_invalid=True)
+    parsed = F.col("review_id").isNotNull() | F.col("timestamp").isNotNull() | F.col("user_id").isNotNull()
+    return t.observe(seen, F.count(F.lit(1)).alias("received"), F.count_if(F.col("event_time").isNotNull()).alias("accepted"),
+                     F.count_if(~parsed).alias("malformed"), F.count_if(parsed & F.col("event_time").isNull()).alias("bad_time")).filter(
+        F.col("event_time").isNotNull())

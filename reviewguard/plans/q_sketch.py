@@ -138,7 +138,6 @@ SELECT uw.user_id, uw.window_start, CAST(CASE WHEN mem.user_id IS NOT NULL THEN
 FROM uw LEFT JOIN mem USING (user_id)"""))
 def q_bloom_membership(spark, sf_dir):
     uw = W.user_windows(events_stream(spark, sf_dir), DAY)
-    bits = B.build(B.flag_users(uw))
-    out = B.might_contain(uw, bits)
+    out = B.might_contain(uw, B.packed(B.build(B.flag_users(uw))))
     return out.select("user_id", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       "bloom_seen_before")

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from reviewguard.operators import bloom as B
@@ -99,7 +101,7 @@ def test_bloom_no_false_negatives_and_null(spark):
     df = spark.createDataFrame([(u, 1 if n % 3 == 0 else 0) for n, u in enumerate(users)] + [(None, 1)],
                                "user_id string, flagged int")
     bits = B.build(df.filter("flagged = 1"))
-    out = B.might_contain(df, bits).collect()
+    out = B.might_contain(df, B.packed(bits)).collect()
     for r in out:
         if r.user_id is None:
             assert r.bloom_seen_before == 0
@@ -107,6 +109,55 @@ def test_bloom_no_false_negatives_and_null(spark):
             assert r.bloom_seen_before == 1
     py_bits = {p for n, u in enumerate(users) if n % 3 == 0 for p in py_positions(u)}
     assert {r.pos for r in bits.collect()} == py_bits
-    words = {r.word: r.bits for r in B.packed(bits).collect()}
-    for p in py_bits:
-        assert (words[p // 64] >> (p % 64)) & 1
+    words = B.packed(bits).first().words
+    assert len(words) == 157 and {p for p in range(157 * 64) if (words[p // 64] >> (p % 64)) & 1} == py_bits
+
+
+def test_bloom_sized_by_target_error(spark):
+    m, k = B.size_for(2000, 0.01)
+    inside = spark.range(2000).select(F.concat(F.lit("in"), "id").alias("user_id"))
+    outside = spark.range(20_000).select(F.concat(F.lit("out"), "id").alias("user_id"))
+    words = B.packed(B.build(inside, num_bits=m, num_hashes=k), m)
+    hits = [B.might_contain(x, words, num_bits=m, num_hashes=k).agg(F.avg("bloom_seen_before")).first()[0] for x in (inside, outside)]
+    assert hits[0] == 1.0 and hits[1] < 0.015
+    both = B.either(B.packed(B.build(inside.limit(10))), B.packed(B.build(outside.limit(10))))
+    probe = inside.limit(10).union(outside.limit(10))
+    assert B.might_contain(probe, both).agg(F.min("bloom_seen_before")).first()[0] == 1
+    assert B.might_contain(probe, B.empty(spark)).agg(F.max("bloom_seen_before")).first()[0] == 0
+    plan = B.might_contain(probe, both)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan.split("Subquery")[0] if "Subquery" in plan else "Join" not in plan
+    with pytest.raises(ValueError):
+        B.size_for(0, 0.1)
+
+
+def test_merged_distinct_sketches_keep_their_error_bound(spark):
+    """Hour sketches of 48 hours merged to days and to one: within 5 % (3 standard errors) of the exact counts; small counts exact."""
+    from reviewguard.operators import sketches as S
+    rows = spark.range(300_000).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.xxhash64("id"), F.lit(172_800))).cast("timestamp_ntz").alias("event_time"),
+        F.when(F.col("id") % 50 == 0, "small").otherwise("big").alias("user_id"),
+        F.when(F.col("id") % 50 == 0, F.concat(F.lit("p"), F.col("id") % 70)).otherwise(F.concat(F.lit("q"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(60_000)))).alias("product_id"))
+    hours = S.product_sketches(rows)
+    assert hours.count() == 96
+    for duration, size in (("1 day", 4), (None, 2)):
+        merged = S.distinct_products(S.merge_products(hours, duration)).collect()
+        by = ["user_id"] if duration is None else [F.window("event_time", duration).start.alias("window_start"), "user_id"]
+        exact = {tuple(r)[:-2]: (r.n, r.d) for r in rows.groupBy(*by).agg(F.count("*").alias("n"), F.count_distinct("product_id").alias("d")).collect()}
+        assert len(merged) == size == len(exact)
+        for r in merged:
+            n, d = exact[(r.user_id,) if duration is None else (r.window_start, r.user_id)]
+            assert r.reviews == n and (r.distinct_products == d if r.user_id == "small" else abs(r.distinct_products / d - 1) < 0.05)
+
+
+def test_merged_quantile_sketches_keep_their_rank_error(spark):
+    from reviewguard.operators import reports as R
+    from reviewguard.operators import sketches as S
+    rows = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("risk_level"), (F.col("id") % 64).alias("part"),
+                                       F.expr("CASE WHEN id % 97 = 0 THEN NULL ELSE exp(pmod(xxhash64(id), 10000) / 1000.0) END").alias("x"))
+    boxes = S.box(S.merge_values(S.value_sketches(rows, "x", ("risk_level", "part")), ("risk_level",)), ("risk_level",))
+    got = R.rank_check(rows, boxes, "x").collect()
+    assert len(got) == 2 and all(r.q1_ok and r.median_ok and r.q3_ok for r in got)
+    exact, box = ({r.risk_level: r for r in df.collect()} for df in (R.box(rows, "x"), boxes))
+    assert all(box[k]["min"] == exact[k]["min"] and box[k]["max"] == exact[k]["max"] for k in exact)
+    wrong = boxes.withColumn("median", F.col("q3"))
+    assert not any(r.median_ok for r in R.rank_check(rows, wrong, "x").collect())
