@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The named HTML entities decoded before tag stripping, in
-# decoding order ("&amp;" last, so "&amp;lt;" becomes "&lt;" as a one-pass
-# decoder would leave it).
-HTML_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&amp;", "&"),
-]
+from .entities import decode_entities
 
 # Fixed patterns.
-TAG_PATTERN = r"<.*?>"
+TAG_PATTERN = r"(?d)<.*?>"        # (?d): only a line feed ends a line
 NON_ALNUM_SPACE = r"[^a-z0-9\s]"
 WHITESPACE_RUN = r"\s+"
 
@@ -26,32 +17,11 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def decode_entities(c) -> Column:
-    out = _c(c)
-    for ent, ch in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
-
-
-def decode_entities_full(c) -> Column:
-    """Every HTML entity (named and numeric), decoded by an Arrow-batched
-    pandas UDF: the per-value work is one standard-library call, and Spark
-    still partitions the rows. Use when texts carry entities beyond
-    ``HTML_ENTITIES``."""
-    return F.pandas_udf(_unescape, "string")(_c(c).cast("string"))
-
-
-def _unescape(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: html.unescape(v) if isinstance(v, str) else v)
-
-
-def clean_for_storage(c, entities: str = "named") -> Column:
-    """Ingest cleaner: entities decoded, tags -> space, lower case, every
+def clean_for_storage(c) -> Column:
+    """Ingest cleaner: HTML character references decoded, tags -> space, lower case, every
     character outside [a-z0-9 whitespace] -> space, runs of whitespace
-    collapsed, trimmed; empty result -> null. ``entities="named"`` decodes
-    the fixed named list in Catalyst; ``"full"`` decodes every entity (Arrow
-    pandas UDF)."""
-    t = decode_entities_full(c) if entities == "full" else decode_entities(_c(c).cast("string"))
+    collapsed, trimmed; empty result -> null."""
+    t = decode_entities(_c(c).cast("string"))
     t = F.regexp_replace(t, TAG_PATTERN, " ")
     t = F.lower(t)
     t = F.regexp_replace(t, NON_ALNUM_SPACE, " ")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_hash
@@ -53,7 +53,6 @@ NEGATIVE_TEMPLATES = [
 ]
 N_SPAM_USERS = 50
 N_SPAM_PRODUCTS = 20
-ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 
 
 def valid_records(df: DataFrame, required: list[str] = REQUIRED) -> DataFrame:
@@ -123,8 +122,16 @@ def inject_spam(df: DataFrame, rate: float = 0.12, seed: int = 42) -> DataFrame:
                        for c in df.columns])
 
 
+def _counters() -> list[F.Column]:
+    inj = F.col("source") == "synthetic_spam"
+    return [F.count(F.lit(1)).alias("sent"), F.count_if(~inj).alias("real_rows"), F.count_if(inj).alias("injected_rows")]
+
+
 def counts(df: DataFrame) -> DataFrame:
     """sent / real / injected in one aggregate."""
-    inj = F.col("source") == "synthetic_spam"
-    return df.agg(F.count(F.lit(1)).alias("sent"), F.count_if(~inj).alias("real_rows"),
-                  F.count_if(inj).alias("injected_rows"))
+    return df.agg(*_counters())
+
+
+def observe_counts(df: DataFrame, seen: Observation) -> DataFrame:
+    """``df`` unchanged; ``seen`` holds its sent / real / injected once an action has passed its rows."""
+    return df.observe(seen, *_counters())

@@ -3,8 +3,7 @@ features (A12, A14, A15, E8-E10, F1-F5, M1-M8).
 
 Nodes and edges are plain DataFrames keyed like the graph's MERGE keys; an
 upsert is a union followed by "latest batch wins" per key. The pair features
-run on *distinct* (user, product) edges, so the co-target join costs
-sum(deg^2) over distinct edges, never over raw reviews.
+come from ``operators.overlap``, without user pairs.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from ..schema import USER_GRAPH_FEATURES
 from ..session import checkpoint
 from .dedupe import keep_max
-from .positions import row_positions
+from .overlap import pair_features
 from .pairs import DEFAULT_CHUNK, salted_self_pairs
 
 WINDOW_KEY = ["user_id", "window_start", "window_end"]
@@ -68,6 +67,17 @@ def upsert_window_graph(w: DataFrame, batch_col: str | None = "batch_id") -> dic
             "active_in_window": active, "targeted_product": targeted}
 
 
+def merged_graph(windows: DataFrame, targeted: DataFrame, batch_col: str = "batch_id") -> dict[str, DataFrame]:
+    """MERGE over stored batches of window nodes and target edges: properties of the latest
+    batch per key, edges accumulated; users and products follow from them."""
+    latest = keep_max(windows, WINDOW_KEY, [batch_col]).drop(batch_col)
+    users = windows.groupBy("user_id").agg(
+        F.max_by("anonymous_user_id", F.struct(F.col(batch_col), F.col("window_start"))).alias("anonymous_user_id"))
+    edges = targeted.drop(batch_col).distinct()
+    return {"users": users, "review_windows": latest, "products": edges.select("product_id").distinct(),
+            "active_in_window": latest.select(*WINDOW_KEY), "targeted_product": edges}
+
+
 def save_graph(g: dict[str, DataFrame], root: str, mode: str = "overwrite") -> None:
     """Persist node and edge tables (one parquet table each) -- the stored
     graph that later feature jobs read instead of a graph server."""
@@ -164,113 +174,10 @@ def user_pairs(edges: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
         F.count(F.lit(1)).alias("common_products"))
 
 
-def pair_features(edges: DataFrame, max_degree: int | None = None, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """M6 ``num_other_users_shared_products`` and M7
-    ``max_common_products_with_any_user`` per user, exactly.
-
-    Products reached by at most ``max_degree`` users ("light") are expanded
-    into user pairs; that costs at most max_degree pairs per edge. Products
-    above it ("hot") are never expanded into user pairs: each user carries
-    the sorted set of hot products it reaches (its signature), users with
-    equal signatures are collapsed into one row with a count, and only
-    distinct signatures meet each other. Then, for a user u with signature S:
-
-    * M6(u) = #users sharing a hot product with u (from the signature
-      counts, minus u itself) + #light partners sharing no hot product;
-    * M7(u) = max(light partners' light + hot overlap,
-      best hot-only overlap |S n T| over other users' signatures T).
-
-    Users get dense long ids first (distributed row positions, exact), so
-    the pair counts are hashed on two longs, not two strings; the user id is
-    attached back at the end.
-
-    ``max_degree=None`` treats every product as light (plain pair join).
-    The light pair join is salted (see ``operators.pairs``): a product with
-    d users is split into ceil(d / chunk) buckets, so its pairs are spread
-    over that many tasks instead of one.
-    Users reaching no product shared with anyone are absent, as in the
-    graph queries; the caller fills 0.
-    """
-    ids = row_positions(edges.select("user_id").distinct(), ["user_id"], out_col="_uid")
-    e = edges.join(ids, "user_id").select(F.col("_uid").alias("user_id"), "product_id")
-    # ids are 1..users; below 2^31 a pair of ids packs into one long key
-    pack = ids.count() < (1 << 31)
-    out = _pair_features_ids(e, max_degree, chunk, pack)
-    return out.withColumnRenamed("user_id", "_uid").join(ids, "_uid").select(
-        "user_id", "num_other_users_shared_products", "max_common_products_with_any_user")
-
-
-def _pair_features_ids(e: DataFrame, max_degree: int | None, chunk: int, pack: bool = False) -> DataFrame:
-    if max_degree is None:
-        light, hot = e, None
-    else:
-        deg = e.groupBy("product_id").agg(F.count(F.lit(1)).alias("_deg"))
-        tagged = e.join(deg, "product_id")
-        light = tagged.filter(F.col("_deg") <= max_degree).select("user_id", "product_id")
-        hot = tagged.filter(F.col("_deg") > max_degree).select("user_id", "product_id")
-
-    # each unordered pair once (salted: a hot product is split over tasks),
-    # counted per pair, then credited to both sides
-    pairs = salted_self_pairs(light, "product_id", "user_id", chunk=chunk)
-    if pack:
-        pc = (pairs.groupBy((F.shiftleft(F.col("a"), 31) + F.col("b")).alias("_ab"))
-              .agg(F.count(F.lit(1)).alias("_light"))
-              .select(F.shiftright(F.col("_ab"), 31).alias("a"), (F.col("_ab") % (1 << 31)).alias("b"), "_light"))
-    else:
-        pc = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_light"))
-    lp = pc.select(F.explode(F.array(
-        F.struct(F.col("a").alias("user_id"), F.col("b").alias("other"), F.col("_light")),
-        F.struct(F.col("b").alias("user_id"), F.col("a").alias("other"), F.col("_light")))).alias("r")).select("r.*")
-
-    if hot is None:
-        return lp.groupBy("user_id").agg(
-            F.count(F.lit(1)).alias("num_other_users_shared_products"),
-            F.max("_light").alias("max_common_products_with_any_user"))
-
-    sig = hot.groupBy("user_id").agg(F.array_sort(F.collect_list("product_id")).alias("sig"))
-    # light partners: add the hot overlap of the pair
-    s1, s2 = sig.alias("s1"), sig.alias("s2")
-    lp2 = (lp.join(s1, lp.user_id == F.col("s1.user_id"), "left")
-           .join(s2, lp.other == F.col("s2.user_id"), "left")
-           .select(lp.user_id, lp.other, "_light",
-                   F.coalesce(F.col("s1.sig"), F.array().cast("array<string>")).alias("_s1"),
-                   F.coalesce(F.col("s2.sig"), F.array().cast("array<string>")).alias("_s2")))
-    light_side = lp2.groupBy("user_id").agg(
-        F.count_if(~F.arrays_overlap("_s1", "_s2")).alias("_light_only"),
-        F.max(F.col("_light") + F.size(F.array_intersect("_s1", "_s2"))).alias("_m7_light"))
-
-    # hot side on distinct signatures
-    sigs = sig.groupBy("sig").agg(F.count(F.lit(1)).alias("_n"))
-    sh = sigs.select("sig", "_n", F.explode("sig").alias("h"))
-    # distinct signatures meeting on a hot product (salted), plus each
-    # signature with itself
-    sp = salted_self_pairs(sh, "h", "sig", payload=["_n"], chunk=chunk, ordered=False)
-    same = sh.select("h", F.col("sig").alias("a"), F.col("sig").alias("b"), F.col("_n").alias("_n_a"),
-                     F.col("_n").alias("_n_b"))
-    st = (sp.unionByName(same)
-          .groupBy(F.col("a").alias("sig"), F.col("b").alias("tsig"), F.col("_n_a").alias("sn"),
-                   F.col("_n_b").alias("tn"))
-          .agg(F.count(F.lit(1)).alias("_ov")))
-    per_sig = st.groupBy("sig").agg(
-        (F.sum("tn") - 1).alias("_hot_n"),
-        F.max(F.when((F.col("sig") != F.col("tsig")) | (F.col("sn") > 1), F.col("_ov"))).alias("_m7_hot"))
-    hot_side = sig.join(per_sig, "sig").select("user_id", "_hot_n", "_m7_hot")
-
-    out = hot_side.join(light_side, "user_id", "full_outer").select(
-        "user_id",
-        (F.coalesce("_hot_n", F.lit(0)) + F.coalesce("_light_only", F.lit(0))).alias(
-            "num_other_users_shared_products"),
-        F.greatest(F.coalesce("_m7_hot", F.lit(0)), F.coalesce("_m7_light", F.lit(0))).alias(
-            "max_common_products_with_any_user"),
-    )
-    return out.filter((F.col("num_other_users_shared_products") > 0))
-
-
-def user_features(windows: DataFrame, targeted: DataFrame, max_degree: int | None = None,
-                  chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def user_features(windows: DataFrame, targeted: DataFrame) -> DataFrame:
     """M8: window features left join pair features, nulls -> 0, all double."""
     wf = window_features(windows, targeted)
-    pf = pair_features(user_product_edges(targeted), max_degree, chunk)
+    pf = pair_features(user_product_edges(targeted))
     out = wf.join(pf, "user_id", "left")
     return out.select("user_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                    for c in USER_GRAPH_FEATURES])

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from . import sketches
 from .risk import RISK_FEATURES
 
+# Fixed names of the graph features.
 GRAPH_COLS = ["num_windows", "num_suspicious_windows", "num_total_targeted_products",
               "num_suspicious_products_targeted", "max_products_in_one_window", "avg_products_per_window",
               "has_multiple_suspicious_windows", "num_other_users_shared_products",
@@ -55,21 +57,31 @@ def level_means(df: DataFrame, cols: list[str] = GRAPH_COLS, by: str = "risk_lev
     return df.groupBy(by).agg(*[F.avg(c).alias(c) for c in present])
 
 
-def box(df: DataFrame, col: str, by: str = "risk_level", exact: bool = True, accuracy: int = 10000) -> DataFrame:
+def box(df: DataFrame, col: str, by: str = "risk_level", exact: bool = True) -> DataFrame:
     """min, quartiles, median, max per group. Exact mode keeps a value ->
     count map per group (memory grows with distinct values, suited to count
-    features); approximate mode is a fixed-size sketch per group."""
+    features); else a KLL sketch of fixed size per group (``operators.sketches``)."""
+    if not exact:
+        return sketches.box(sketches.value_sketches(df, col, (by,)), (by,))
     x = F.col(col).cast("double")
-    qs = [0.25, 0.5, 0.75]
-    if exact:
-        q = F.percentile(x, F.array(*[F.lit(v) for v in qs]))
-    else:
-        q = F.percentile_approx(x, F.array(*[F.lit(v) for v in qs]), accuracy)
-    g = df.groupBy(by).agg(F.min(x).alias("min"), q.alias("_q"), F.max(x).alias("max"))
+    g = df.groupBy(by).agg(F.min(x).alias("min"), F.percentile(x, F.array(*[F.lit(v) for v in sketches.QUARTILES])).alias("_q"), F.max(x).alias("max"))
     return g.select(by, "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                     F.col("_q")[2].alias("q3"), "max")
 
 
+def rank_check(df: DataFrame, boxes: DataFrame, col: str, by: str = "risk_level", error: float = 0.01) -> DataFrame:
+    """Whether the quartiles of ``boxes`` lie within ``error`` of their rank in the rows: by, rows, q1_ok, median_ok, q3_ok.
+
+    ``boxes`` has one row per group and joins as the groups' facts; the rows are read once."""
+    x = F.col(col).cast("double")
+    j = df.filter(x.isNotNull()).select(by, x.alias("x")).join(boxes.select(by, "q1", "median", "q3"), by)
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for c in ("q1", "median", "q3"):
+        aggs += [F.avg((F.col("x") < F.col(c)).cast("int")).alias(f"{c}_lt"), F.avg((F.col("x") <= F.col(c)).cast("int")).alias(f"{c}_le")]
+    return j.groupBy(by).agg(*aggs).select(by, "rows", *[((F.col(f"{c}_lt") <= q + error) & (F.col(f"{c}_le") >= q - error)).alias(f"{c}_ok")
+                                                         for c, q in zip(("q1", "median", "q3"), sketches.QUARTILES)])
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 

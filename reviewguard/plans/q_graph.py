@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import graph as G
 from ..operators import windows as W
+from ..session import scratch_path
 from ..sources.tables import REVIEWS_DOC_SQL, REVIEWS_LI_SQL, reviews_doc, reviews_li
 from .q_windows import DAY, events_stream, uw_ctes
 from .registry import query, with_ctes
@@ -137,9 +140,11 @@ def q_user_features(spark, sf_dir):
 
 @query("user_features_hot", _features_sql(UW_DAY))
 def q_user_features_hot(spark, sf_dir):
-    """Same features, with every product above 20 users on the hot route."""
-    g = day_graph(spark, sf_dir)
-    return G.user_features(g["review_windows"], g["targeted_product"], max_degree=20)
+    """The same features from the graph written as tables and read back."""
+    root = scratch_path(spark, f"graph-{uuid.uuid4().hex}")
+    G.save_graph(day_graph(spark, sf_dir), root)
+    g = G.load_graph(spark, root)
+    return G.user_features(g["review_windows"], g["targeted_product"])
 
 
 @query("user_pairs", with_ctes(*UW_DAY, body="""
@@ -170,7 +175,7 @@ SELECT user_id, max(c) AS max_common_products_with_any_user FROM (
 GROUP BY user_id"""))
 def q_max_overlap(spark, sf_dir):
     g = day_graph(spark, sf_dir)
-    return G.pair_features(G.user_product_edges(g["targeted_product"]), max_degree=8).select(
+    return G.pair_features(G.user_product_edges(g["targeted_product"])).select(
         "user_id", "max_common_products_with_any_user")
 
 

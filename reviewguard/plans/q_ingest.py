@@ -2,22 +2,53 @@
 
 from __future__ import annotations
 
+import uuid
+from html.entities import html5
+
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..functions.labels import normalize_label
 from ..functions.text import clean_for_storage
 from ..operators import augment as A
 from ..operators import ingest as I
+from ..operators.wire import to_wire_json
+from ..session import scratch_path
 from ..sources import raw as R
 from ..sources.tables import REVIEWS_DOC_SQL, REVIEWS_EV_SQL, read_table, reviews_doc, reviews_ev
 from .registry import query, with_ctes
 
 
+def _quoted(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def decode_sql(x: str) -> str:
+    """SQL twin of functions.entities.decode_entities, on the whole table of names."""
+    def table(items):
+        return "MAP {" + ", ".join(f"{_quoted(k)}: {_quoted(v)}" for k, v in items) + "}"
+    bare = [(n, v) for n, v in html5.items() if not n.endswith(";")]
+    cp1252 = {i: (bytes([i]).decode("cp1252", "ignore") or chr(i)) for i in range(128, 160)}
+    n = """(CASE WHEN regexp_matches(p, '^#[0-9]') THEN TRY_CAST(regexp_extract(p, '^#([0-9]+)', 1) AS HUGEINT)
+             ELSE TRY_CAST('0x' || right('0000000' || left(ltrim(regexp_extract(p, '^#[xX]([0-9a-fA-F]+)', 1), '0'), 7), 7) AS BIGINT)
+                  + CASE WHEN length(ltrim(regexp_extract(p, '^#[xX]([0-9a-fA-F]+)', 1), '0')) > 7 THEN 1114112 ELSE 0 END END)"""
+    char = f"""(CASE WHEN {n} IS NULL OR {n} = 0 OR {n} > 1114111 OR {n} BETWEEN 55296 AND 57343 THEN '\uFFFD'
+             WHEN {n} = 13 THEN chr(13)
+             WHEN {n} BETWEEN 128 AND 159 THEN {table((str(k), v) for k, v in cp1252.items())}[CAST({n} AS VARCHAR)]
+             WHEN {n} BETWEEN 1 AND 8 OR {n} = 11 OR {n} BETWEEN 14 AND 31 OR {n} = 127 OR {n} BETWEEN 64976 AND 65007
+                  OR {n} % 65536 >= 65534 THEN '' ELSE chr(CAST({n} AS INTEGER)) END)"""
+    name = r"regexp_extract(p, '^[^\t\n\f <&#;]{1,32};?', 0)"
+    starts = ", ".join(f"CASE WHEN length({name}) > {k} THEN {table(bare)}[left(p, {k})] || substr(p, {k + 1}) END" for k in range(6, 1, -1))
+    num = "regexp_extract(p, '^#([0-9]+|[xX][0-9a-fA-F]+);?', 0)"
+    part = f"""CASE WHEN {num} <> '' THEN {char} || substr(p, length({num}) + 1)
+             ELSE coalesce({table(html5.items())}[{name}] || substr(p, length({name}) + 1), {starts}, '&' || p) END"""
+    cut = f"string_split({x}, '&')"
+    return f"(CASE WHEN contains({x}, '&') THEN {cut}[1] || array_to_string([{part} FOR p IN {cut}[2:]], '') ELSE {x} END)"
+
+
 def clean_sql(x: str) -> str:
     """SQL twin of functions.text.clean_for_storage."""
-    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"),
-                    ("&nbsp;", " "), ("&amp;", "&")]:
-        x = f"replace({x}, '{ent}', '{ch}')"
+    x = decode_sql(x)
     x = f"regexp_replace({x}, '<.*?>', ' ', 'g')"
     x = f"lower({x})"
     x = f"regexp_replace({x}, '[^a-z0-9\\s]', ' ', 'g')"
@@ -192,4 +223,8 @@ def q_inject_spam(spark, sf_dir):
 
 @query("augment_counts")
 def q_augment_counts(spark, sf_dir):
-    return A.counts(A.valid_records(A.inject_spam(reviews_ev(spark, sf_dir), rate=0.12, seed=42)))
+    """Counters observed while the messages are written, without a second pass."""
+    seen = Observation(f"augment-{uuid.uuid4().hex}")
+    rows = A.observe_counts(A.valid_records(A.inject_spam(reviews_ev(spark, sf_dir), rate=0.12, seed=42)), seen)
+    to_wire_json(rows).write.parquet(scratch_path(spark, f"wire-{uuid.uuid4().hex}"))
+    return spark.createDataFrame([(seen.get["sent"], seen.get["real_rows"], seen.get["injected_rows"])], "sent long, real_rows long, injected_rows long")

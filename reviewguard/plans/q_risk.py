@@ -11,6 +11,7 @@ from ..operators import graph as G
 from ..operators import metrics as M
 from ..operators import reports as Rp
 from ..operators import risk as Rk
+from ..operators import sketches as S
 from ..operators import windows as W
 from ..schema import USER_GRAPH_FEATURES
 from ..session import checkpoint
@@ -149,6 +150,17 @@ def q_box_stats(spark, sf_dir):
     return Rp.box(scored(spark, sf_dir), "low_rating_reviews_by_user_5m")
 
 
+@query("box_stats_sketch", risk_sql("""SELECT risk_level, count(*) AS rows, true AS q1_ok, true AS median_ok, true AS q3_ok,
+       min(CAST(low_rating_reviews_by_user_5m AS DOUBLE)) AS min, max(CAST(low_rating_reviews_by_user_5m AS DOUBLE)) AS max
+FROM scored GROUP BY risk_level"""))
+def q_box_stats_sketch(spark, sf_dir):
+    """Box statistics out of daily KLL sketches, merged per level; the quartiles' ranks are checked on the rows."""
+    df, col = checkpoint(scored(spark, sf_dir)), "low_rating_reviews_by_user_5m"
+    days = checkpoint(S.value_sketches(df, col, ("risk_level", "window_start")))
+    boxes = S.box(S.merge_values(days, ("risk_level",)), ("risk_level",))
+    return Rp.rank_check(df, boxes, col).join(boxes.select("risk_level", "min", "max"), "risk_level")
+
+
 CORR_COLS = MEASURES + USER_GRAPH_FEATURES + ["risk_score", "predicted_suspicious"]
 
 

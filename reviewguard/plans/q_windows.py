@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import sketches as S
 from ..operators import windows as W
 from ..operators.wire import event_time, stream_events, to_wire_json, with_pseudonym
+from ..session import scratch_path
 from ..sources.tables import REVIEWS_EV_SQL, reviews_ev
 from .registry import query, with_ctes
 
@@ -147,6 +151,21 @@ def q_user_windows_approx(spark, sf_dir):
     return user_windows_out(W.user_windows(events_stream(spark, sf_dir), p))
 
 
+USER_PRODUCTS_SQL = with_ctes(REVIEWS_EV_SQL, PARSED_EV_SQL, body="""
+SELECT user_id, strftime(make_timestamp(CAST(floor(epoch_us(event_time) / 86400000000) AS BIGINT) * 86400000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+       count(*) AS reviews, count(DISTINCT product_id) AS distinct_products
+FROM parsed_ev GROUP BY ALL""")
+
+
+@query("user_products_sketch", USER_PRODUCTS_SQL)
+def q_user_products_sketch(spark, sf_dir):
+    """Distinct products per user and day out of stored hour sketches (counts this small are exact)."""
+    path = scratch_path(spark, f"hours-{uuid.uuid4().hex}")
+    S.product_sketches(events_stream(spark, sf_dir)).write.parquet(path)
+    days = S.merge_products(spark.read.parquet(path), "1 day")
+    return S.distinct_products(days).withColumn("window_start", F.date_format("window_start", OUT_TS))
+
+
 @query("ingest_rejects", with_ctes(REVIEWS_EV_SQL, body="""
 SELECT count(*) AS received,
        count(*) FILTER (WHERE try_strptime(timestamp, '%Y-%m-%d %H:%M:%S.%g') IS NOT NULL) AS accepted,

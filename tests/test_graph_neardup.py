@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from reviewguard.functions.text import clean_for_shingles
 from reviewguard.operators import graph as G
 from reviewguard.operators import neardup as N
+from reviewguard.operators import overlap as O
 
 
 def brute_pairs(edges):
@@ -22,26 +23,25 @@ def brute_pairs(edges):
     return m6, m7
 
 
-def test_pair_features_all_routes_equal_brute_force(spark):
-    rng = random.Random(5)
+def skewed_edges(rng, users):
+    """Products 0 and 1 are hot, a third of the users have nothing else; the rest is sparse, with some large baskets."""
     edges = set()
-    for u in range(60):
-        for _ in range(rng.randint(1, 8)):
-            # product 0 and 1 are hot (many users), the rest sparse
-            p = rng.choice([0, 0, 1, 1] + list(range(2, 40)))
+    for u in range(users):
+        n = rng.choice([1, 2, 3, 5, 8, 20])
+        for _ in range(n):
+            p = rng.choice([0, 0, 1, 1, *range(2, 12), *range(12, 12 + users)])
             edges.add((f"u{u}", f"p{p}"))
-    # identical hot signatures for a few users
-    for u in range(60, 66):
-        edges |= {(f"u{u}", "p0"), (f"u{u}", "p1")}
-    df = spark.createDataFrame(sorted(edges), "user_id string, product_id string")
-    m6, m7 = brute_pairs(edges)
-    for md, chunk in ((None, 4096), (None, 3), (1, 2), (3, 4096), (10, 5), (1000, 4096)):
-        got = {r.user_id: (r.num_other_users_shared_products, r.max_common_products_with_any_user)
-               for r in G.pair_features(df, max_degree=md, chunk=chunk).collect()}
-        assert got == {u: (m6[u], m7[u]) for u in m6}, (md, chunk)
-    ids_e = df.select(F.regexp_extract("user_id", r"(\d+)", 1).cast("long").alias("user_id"), "product_id")
-    packed = sorted(G._pair_features_ids(ids_e, None, 4096, pack=True).collect())
-    assert packed == sorted(G._pair_features_ids(ids_e, None, 4096, pack=False).collect())
+    return edges | {(f"h{u}", p) for u in range(users // 2) for p in ("p0", "p1")} | {("lonely", "only"), ("twin1", "t"), ("twin2", "t")}
+
+
+def test_pair_features_equal_brute_force(spark):
+    for seed, users in ((5, 60), (6, 25), (7, 120)):
+        edges = skewed_edges(random.Random(seed), users)
+        df = spark.createDataFrame(sorted(edges), "user_id string, product_id string")
+        m6, m7 = brute_pairs(edges)
+        got = {r.user_id: (r.num_other_users_shared_products, r.max_common_products_with_any_user) for r in G.pair_features(df).collect()}
+        assert got == {u: (m6[u], m7[u]) for u in m6}
+    assert G.pair_features(df.limit(0)).count() == 0
     pairs = {(r.user1, r.user2): r.common_products for r in G.user_pairs(df, chunk=3).collect()}
     by_user = {}
     for u, p in edges:
@@ -51,6 +51,29 @@ def test_pair_features_all_routes_equal_brute_force(spark):
     assert pairs == exp
 
 
+def test_overlap_search_looks_at_few_pairs(spark):
+    """On a skewed table of 1,500 users the search verifies a small share of the pairs that share a product, from true lower bounds."""
+    edges = skewed_edges(random.Random(8), 1000)
+    df = spark.createDataFrame(sorted(edges), "user_id string, product_id string")
+    members, sets = O.product_sets(df)
+    at = O.placed(sets)
+    low = O.lower_bounds(at)
+    _, m7 = brute_pairs(edges)
+    assert members.count() == len({u for u, _ in edges}) and sets.select("rep").distinct().count() < members.count() / 1.4
+    assert all(r.low <= m7[r.rep] for r in low.collect() if r.rep in m7)
+    met = O.candidates(at, low).count()
+    users = G.user_pairs(df).count()
+    print(f"candidates: {met} of {2 * users} ordered pairs of users that share a product")
+    assert met < 2 * users / 10
+
+
+def test_pair_features_plan_has_no_self_join_of_users(spark):
+    df = spark.createDataFrame(sorted(skewed_edges(random.Random(9), 30)), "user_id string, product_id string")
+    members, sets = O.product_sets(df)
+    plan = O.shared_users(df, members, sets)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("bitmap_construct_agg") and plan.count("bitmap_or_agg") and "user_id_b" not in plan
+
+
 def test_mllib_pairs_are_exact_pairs(spark):
     from conftest import SF
     from reviewguard.sources.tables import reviews_doc
