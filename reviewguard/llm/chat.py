@@ -7,13 +7,14 @@ Control strings are the four marks. Inside a role or text a mark is escaped by o
 backslash after its first character; a mark that already has n backslashes there gets
 n + 1, so escaping is a bijection: ``</s>`` is ``<\\/s>`` in the output and ``<\\/s>`` is ``<\\\\/s>``.
 The parser splits at "</s>", cuts each turn at its marks and takes one backslash out
-of every escaped mark. A turn is first rendered as it is and reparsed; only a
-turn that doesn't come back identical is escaped.
+of every escaped mark. Every mark in a role or text is escaped, so the output's live marks
+are the template's own; what the parser recovers is compared with the source, and a
+conversation that differs fails the job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MARK = r"([<\[])(\\*)(/?s>|/?INST\])"
@@ -40,30 +41,42 @@ def parse(rendered: Column) -> Column:
                                                   unescape(F.substring(body(p), F.instr(body(p), "[INST]") + 6, F.length(p))).alias("text")))
 
 
-def format_chats(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One row per conversation: conv_id, formatted, turns (parsed back from it), round_trip.
+def format_chats(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", trained: str = "assistant") -> DataFrame:
+    """One row per conversation: conv_id, formatted, turns (parsed back from it), loss_mask, round_trip.
 
-    Turns are ordered by (turn, role, text), nulls of turn first; null role or text is empty. A null conv_id is
-    a conversation. Repeated rows are turns of their own. Control strings may stand in any text or role.
-    round_trip is true if the parsed turns equal the source, in number, order and content.
-    An empty table gives an empty result; other columns are ignored."""
+    loss_mask lists the code point ranges of ``formatted`` (start included, end not) that hold the escaped texts of ``trained``
+    turns, with the number of the turn and where that begins. Turns are ordered by (turn, role, text), nulls of turn
+    first; null role or text is empty. A null conv_id is a conversation. Repeated rows are turns of their
+    own. Control strings may stand in any text or role: all are escaped. round_trip is true: turns that don't come back as
+    the source has them, in number, order and content, raise an error. An empty table gives an empty result; other
+    columns are ignored and may have any name."""
     rows = turns.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((role, "role"), (text, "text"))])
-    plain, safe = render(F.col("role"), F.col("text")), render(escape(F.col("role")), escape(F.col("text")))
-    back = parse(plain)
-    same = (F.size(back) == 1) & (F.try_element_at(back, F.lit(1)) == F.struct("role", "text"))
-    rows = rows.withColumn("out", F.when(F.coalesce(same, F.lit(False)), plain).otherwise(safe))
-    got = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "out"))).alias("all"))
+    rows = rows.withColumn("out", render(escape(F.col("role")), escape(F.col("text"))))
+    before = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("begins", F.coalesce(F.sum(F.length("out").cast("long")).over(before), F.lit(0).cast("long")))
+    got = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("begins", "turn", "role", "text", "out"))).alias("all"))
     got = got.withColumn("formatted", F.array_join(F.col("all.out"), "")).withColumn("turns", parse(F.col("formatted")))
     source = F.transform("all", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))
-    return got.select("conv_id", "formatted", "turns", (F.col("turns") == source).alias("round_trip"))
+    start = lambda x: x["begins"] + F.length(escape(x["role"])) + F.lit(3 + 6)  # noqa: E731  behind "<s>", the role and "[INST]"
+    placed = F.transform("all", lambda x, i: F.struct(i.alias("turn"), x["role"].alias("role"), x["begins"].alias("begins"), start(x).alias("start"),
+                                                      (start(x) + F.length(escape(x["text"]))).alias("end")))
+    mask = F.transform(F.filter(placed, lambda x: x["role"] == trained), lambda x: F.struct(x["turn"].alias("turn"), x["begins"].alias("begins"), x["start"].alias("start"), x["end"].alias("end")))
+    same = F.when(F.col("turns") == source, F.lit(True)).otherwise(F.raise_error(F.lit("a conversation didn't come back from its format")).cast("boolean"))
+    return got.select("conv_id", "formatted", "turns", mask.alias("loss_mask"), same.alias("round_trip"))
 
 
-def digests(chats: DataFrame, trained: str = "assistant") -> DataFrame:
-    """Digest columns of formatted chats, from the turns read back; the loss mask covers the texts of ``trained`` turns."""
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == trained), lambda t: t["text"]), "")
+def masked(formatted: Column, mask: Column) -> Column:
+    """The unescaped text under a loss mask, range after range."""
+    pieces = F.split(formatted, "</s>", -1)
+    return F.array_join(F.transform(mask, lambda m: unescape(F.substring(F.get(pieces, m["turn"]), (m["start"] - m["begins"] + 1).cast("int"), (m["end"] - m["start"]).cast("int")))), "")
+
+
+def digests(chats: DataFrame) -> DataFrame:
+    """Digest columns of formatted chats, from the turns read back and the text under the loss mask."""
+    chats = chats.withColumn("loss", masked(F.col("formatted"), F.col("loss_mask")))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return chats.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
-                        F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "round_trip")
+    return chats.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+                        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "round_trip")
 
 
 #: The conversation added to the given ones: texts made of control strings.

@@ -25,6 +25,46 @@ def test_chats_come_back(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+MARKS = ["<s>", "</s>", "[INST]", "[/INST]"]
+
+
+def test_no_live_mark_but_the_templates(spark):
+    """Each mark alone, in a role and in a text, and texts that look like turns: the output holds the template's marks only."""
+    texts = MARKS + ["[INST] hi [/INST]", "<s> ok", "a[/INST]b", "x</s><s>user[INST]y", "<\\s>", "<\\\\/s>[\\INST]"]
+    rows = [(i, 0, "user", t) for i, t in enumerate(texts)] + [(100 + i, 0, t, "plain") for i, t in enumerate(texts)] + [(200 + i, j, "assistant", t) for i, t in enumerate(texts) for j in range(3)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for x in chat.format_chats(df).collect():
+        n = len(x.turns)
+        assert [x.formatted.count(m) for m in MARKS] == [n] * 4, x.formatted
+    assert "<s>user[INST][\\INST] hi [\\/INST][/INST]</s>" in {x.formatted for x in chat.format_chats(df).collect()}
+
+
+def test_loss_mask_ranges_lie_in_the_output(spark):
+    r = random.Random(6)
+    rows = [(c, t, r.choice(["user", "assistant", "<s>"]), "".join(r.choices(MARKS + ["é", "😀", " a", "\\"], k=r.randrange(7)))) for c in range(30) for t in range(8)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    by = defaultdict(list)
+    for c, t, role, text in rows:
+        by[c].append((t, role, text))
+    pattern = __import__("re").compile(chat.ESCAPED)
+    for x in chat.format_chats(df).collect():
+        under = [pattern.sub(r"\1\2\3", x.formatted[m.start:m.end]) for m in x.loss_mask]
+        assert under == [text for _, role, text in sorted(by[x.conv_id]) if role == "assistant"]
+        assert all(x.formatted[m.begins:].startswith("<s>") for m in x.loss_mask)
+
+
+def test_sql_twin_agrees_on_control_strings(spark):
+    import duckdb
+    rows = [(i, t, role, text) for i, text in enumerate(MARKS + ["[INST] hi [/INST]", "<s> ok", None, ""]) for t, role in enumerate(("user", "assistant", "a[/INST]b", None))]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = {x[0]: x[1:] for x in con.execute(chat.ORACLE).fetchall()}
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {x[0]: tuple(x[1:]) for x in chat.digests(chat.format_chats(df)).collect()}
+    assert {k: v for k, v in want.items() if k >= 0} == got
+
+
 def test_mix_edge_rows(spark):
     r = random.Random(8)
     rows = [(i, " ".join(["w"] * r.randrange(0, 60)), r.choice(["a", "b", "c", None, ""])) for i in range(400)]
