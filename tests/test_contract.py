@@ -3,6 +3,7 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 from conftest import SF_SMALL
@@ -14,7 +15,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if hasattr(v, "item"):
         return _norm(v.item())
