@@ -6,7 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewguard.session import ensure_checkpoint_dir
@@ -48,6 +48,16 @@ def forget(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def packed(docs: DataFrame, **computed: Column) -> DataFrame:
+    """``docs`` as one column, ``row`` (a struct of all its columns), beside computed ones: no column name can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in computed.items()])
+
+
+def unpacked(rows: DataFrame, names: list[str], **computed: Column) -> DataFrame:
+    """The columns ``names`` out of ``row``; ``computed`` ones replace those of their name, or follow."""
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in names if c not in computed], *[v.alias(k) for k, v in computed.items()])
+
+
 def text_chunks(column: pa.Array, limit: int = 4 << 20):
     """Cut a string column into runs of whole texts of about ``limit`` bytes.
 

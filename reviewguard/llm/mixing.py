@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, saved
+from .common import WORD, packed, saved, unpacked
 
 SOURCE_WEIGHTS = (5, 2, 1)      # by the sources' order, repeating
 SHARE, MOST = 1.5, 2            # of all sizes; times a source's size
@@ -93,15 +93,16 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, doc_id: str = "doc_id
 
 
 def mixed_documents(docs: DataFrame, weights: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The mix itself: ``docs`` with every row repeated as often as the mix takes it; columns are kept.
-
-    Sources' budgets are in words, so documents without a word come ``epochs`` times."""
-    got = mix(docs, weights, doc_id, text, source, **options).groupBy("doc_id", "text_hash", F.col("source").alias("_s")).agg(F.sum("copies").alias("_n"))
-    got = got.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_hash", "_th").where("_n > 0")
-    marked = docs.withColumn("_row_th", F.xxhash64(F.col(text).cast("string"))).withColumn("_row_id", F.col(doc_id)).withColumn("_row_s", F.col(source).cast("string"))
-    marked = marked.dropDuplicates(["_row_id", "_row_th", "_row_s"])   # the copies of equal rows are counted together
-    both = marked.join(got, F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_th") == F.col("_th")) & F.col("_row_s").eqNullSafe(F.col("_s")))
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*docs.columns)
+    """The mix itself: ``docs`` with every row repeated as often as the mix takes it; columns are kept, under any name.
+
+    Of rows equal in id, text and source but not in all columns the one with the smallest hash over all columns stands for
+    all. An empty table gives an empty result. Sources' budgets are in words, so documents without a word come ``epochs`` times."""
+    got = mix(docs, weights, doc_id, text, source, **options).groupBy("doc_id", "text_hash", "source").agg(F.sum("copies").alias("n")).where("n > 0")
+    marked = packed(docs, id=F.col(doc_id), hash=F.xxhash64(F.col(text).cast("string")), of=F.col(source).cast("string"))
+    # the copies of equal rows are counted together
+    marked = marked.groupBy("id", "hash", "of").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    both = marked.join(got, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")) & F.col("of").eqNullSafe(F.col("source")))
+    return unpacked(both.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))), docs.columns)
 
 
 ORACLE = f"""

@@ -9,7 +9,8 @@ found from left to right:
 * unigram model: an arc costs minus its score (32-bit sums, as the library has them); of
   equal paths the one whose last piece starts earliest wins, as there;
 * BPE model: an arc costs 0 after a piece that it may follow and infinity otherwise, where "may
-  follow" means that merging the two pieces' characters by rank gives just these two pieces.
+  follow" means that merging the two pieces' characters by rank gives just these two pieces; the last merges of
+  both pieces, undone one by one, tell that.
   A segmentation is the model's own exactly if all neighbours may follow each other, so one
   path of cost 0 is left. Scores alone can't give it: BPE isn't a sum of piece scores.
 
@@ -19,7 +20,9 @@ a bounded table.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -28,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import packed, small_batches, unpacked
 
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-KNOWN_WORDS = 1 << 16     # words whose paths a task keeps
+KNOWN_WORDS = 300_000     # words whose paths a task keeps
 
 
 def read_model(path: str = MODEL) -> dict:
@@ -49,13 +52,53 @@ def describe(m) -> dict:
         raise ValueError("only unigram and BPE models are compiled")
     if m.normalizer_spec.precompiled_charsmap:
         raise ValueError("only the identity character map is compiled")
-    return {"bpe": m.trainer_spec.model_type == 2, "bytes": m.trainer_spec.byte_fallback, "prefix": m.normalizer_spec.add_dummy_prefix,
+    scores = {p.piece: p.score for p in m.pieces if p.type in (1, 4)}
+    return {"bpe": m.trainer_spec.model_type == 2, "merges": last_merges(scores) if m.trainer_spec.model_type == 2 else None, "bytes": m.trainer_spec.byte_fallback, "prefix": m.normalizer_spec.add_dummy_prefix,
             "squeeze": m.normalizer_spec.remove_extra_whitespaces, "pieces": [(p.piece, p.score, p.type) for p in m.pieces]}
 
 
+def merge(text: str, score: dict, last: dict | None = None) -> list[str]:
+    """Merge neighbours, best score first, leftmost of equals. ``last`` gets each merged part's two halves."""
+    parts = list(text)
+    while len(parts) > 1:
+        best, at = None, 0
+        for i in range(len(parts) - 1):
+            s = score.get(parts[i] + parts[i + 1])
+            if s is not None and (best is None or s > best):
+                best, at = s, i
+        if best is None:
+            break
+        if last is not None:
+            last[parts[at] + parts[at + 1]] = parts[at], parts[at + 1]
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    return parts
+
+
+def last_merges(score: dict) -> dict[str, tuple[str, str]]:
+    """The two halves of every piece that its own characters merge to; a piece that they don't merge to is never made."""
+    out = {}
+    for p in score:
+        last: dict = {}
+        if len(p) > 1 and len(merge(p, score, last)) == 1:
+            out[p] = last[p]
+    return out
+
+
+class Known(dict):
+    """Words to what a function makes of them, computed when first asked for."""
+
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, word: str):
+        got = self[word] = self.of(word)
+        return got
+
+
 class Transducer:
     def __init__(self, model: dict):
-        self.model, self.known, self.counts = model, {}, {}
+        self.model, self.known, self.counts = model, Known(self.ids_of), Known(self.count_word)
         types = {kind: [i for i, p in enumerate(model["pieces"]) if p[2] == kind] for kind in range(1, 7)}
         self.unk = types[2][0] if types[2] else 0
         self.byte = {int(model["pieces"][i][0][1:-1], 16): i for i in types[6]}
@@ -64,38 +107,89 @@ class Transducer:
         self.score = {p: s for p, _, s in normal}
         self.follows: dict[tuple[str, str], bool] = {}
         self.automaton = ahocorasick.Automaton()
+        if model["bpe"]:
+            # merges come in the order of falling scores
+            self.rank = {p: n for n, p in enumerate(sorted(self.score, key=lambda p: -self.score[p]))}
+            for n, (p, s) in enumerate(sorted(self.score.items(), key=lambda x: -x[1])):
+                if n and s == level:
+                    self.rank[p] = self.rank[before]
+                level, before = s, p
+            # trained pieces rank behind their halves; with one that doesn't (runs of blanks) merges are replayed
+            self.replayed: set[str] = set()
+            for p, two in sorted(model["merges"].items(), key=lambda x: len(x[0])):
+                if any(h in self.replayed or len(h) > 1 and self.rank[p] <= self.rank[h] for h in two):
+                    self.replayed.add(p)
         for p, i, s in normal:
-            if not model["bpe"] or len(self.merge(p)) == 1:     # a piece that its own characters don't merge to is never made
+            if not model["bpe"] or len(p) == 1 or p in model["merges"]:
                 self.automaton.add_word(p, (len(p), p, i, s))
         self.automaton.make_automaton()
         self.low = np.float32(min([s for _, _, s in normal], default=np.float32(0)) - np.float32(10))
         cut = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.score)
         self.words = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if cut else "(?s).+").findall
 
-    def merge(self, text: str) -> list[str]:
-        """Merge neighbours, best score first, leftmost of equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                s = self.score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
     def may_follow(self, a: str, b: str) -> bool:
         got = self.follows.get((a, b))
         if got is None:
             if len(self.follows) > KNOWN_WORDS:
                 self.follows.clear()
-            got = self.follows[a, b] = self.merge(a + b) == [a, b]
+            got = self.follows[a, b] = merge(a + b, self.score) == [a, b] if a in self.replayed or b in self.replayed else self.stay_apart(a, b)
         return got
 
-    def path(self, word: str) -> list[tuple[int, str]]:
-        """The shortest path's (piece id or -1, text) of one word."""
+    def stay_apart(self, a: str, b: str) -> bool:
+        """Whether no merge across the border comes before those that make ``a`` and ``b``.
+
+        The pieces' last merges are undone, the latest first. What stands at the border between two undoings lasts
+        until the earlier one's merge; a merge across it of lower rank would have come before. Of equal ranks the
+        left merge comes first: that of ``a`` before one across, one across before that of ``b``. Holds where both pieces and all their parts rank behind their halves."""
+        rank, halves, never = self.rank, self.model["merges"], len(self.score)
+        by, strict = never, True         # a merge across must rank below ``by`` (or, not strict, as ``by``) to come first
+        while True:
+            across = rank.get(a + b)
+            if across is not None and (across < by or across == by and not strict):
+                return False
+            a_halves, b_halves = halves.get(a), halves.get(b)
+            a_rank, b_rank = rank[a] if a_halves else -1, rank[b] if b_halves else -1
+            if a_rank < 0 and b_rank < 0:
+                return True
+            # of equal ranks the left one is merged first, so the right one is undone first
+            if a_rank > b_rank:
+                by, strict, a = a_rank, True, a_halves[1]
+            else:
+                by, strict, b = b_rank, False, b_halves[0]
+
+    def arcs_bpe(self, word: str) -> list[tuple[int, str, int]]:
+        """Per end position the (piece id or -1, text, start) of the one arc that the path to there ends with."""
+        back: list = [None] * (len(word) + 1)
+        follows, check = self.follows, self.may_follow
+        for end, (size, piece, i, _) in self.automaton.iter(word):
+            pos = end + 1
+            if back[pos] is not None:
+                continue
+            start = pos - size
+            if start:
+                prev = back[start]
+                if prev is None:
+                    self.unknown(word, back, start)
+                    prev = back[start]
+                ok = follows.get((prev[1], piece))
+                if ok is None:
+                    ok = check(prev[1], piece)
+                if not ok:
+                    continue
+            back[pos] = (i, piece, start)
+        if word and back[-1] is None:
+            self.unknown(word, back, len(word))
+        return back
+
+    @staticmethod
+    def unknown(word: str, back: list, pos: int) -> None:
+        """Characters without an arc, from ``pos`` back."""
+        while pos and back[pos] is None:
+            back[pos] = (-1, word[pos - 1], pos - 1)
+            pos -= 1
+
+    def arcs_unigram(self, word: str) -> list[tuple[int, str, int]]:
+        """As arcs_bpe: the last arc of the path of the largest score to each position."""
         arcs: list[list] = [[] for _ in range(len(word) + 1)]
         for end, arc in self.automaton.iter(word):
             arcs[end + 1].append(arc)
@@ -105,40 +199,34 @@ class Transducer:
             found = None
             for size, piece, i, s in arcs[pos]:
                 start = pos - size
-                if self.model["bpe"]:
-                    if not start or self.may_follow(back[start][1], piece):
-                        found = (i, piece, start)
-                        break
-                else:
-                    c = cost[start] + s
-                    if found is None or c > cost[pos]:
-                        found, cost[pos] = (i, piece, start), c
-            if word[pos - 1] not in self.score and (found is None or not self.model["bpe"] and cost[pos - 1] + self.low > cost[pos]):
+                c = cost[start] + s
+                if found is None or c > cost[pos]:
+                    found, cost[pos] = (i, piece, start), c
+            if word[pos - 1] not in self.score and (found is None or cost[pos - 1] + self.low > cost[pos]):
                 found, cost[pos] = (-1, word[pos - 1], pos - 1), cost[pos - 1] + self.low
             back[pos] = found
+        return back
+
+    def path(self, word: str) -> list[tuple[int, str]]:
+        """The shortest path's (piece id or -1, text) of one word."""
+        back = self.arcs_bpe(word) if self.model["bpe"] else self.arcs_unigram(word)
         out, pos = [], len(word)
         while pos:
             i, piece, pos = back[pos]
             out.append((i, piece))
         return out[::-1]
 
-    def word(self, word: str) -> tuple[list[int], bool]:
-        """Ids of one word, and whether they decode to it."""
-        got = self.known.get(word)
-        if got is None:
-            ids: list[int] = []
-            for i, piece in self.path(word):
-                if i >= 0:
-                    ids.append(i)
-                elif self.model["bytes"]:
-                    ids += [self.byte[b] for b in piece.encode("utf-8", "replace")]
-                elif not ids or ids[-1] != self.unk:
-                    ids.append(self.unk)
-            got = ids, b"".join([self.out[i] for i in ids]) == word.replace(BLANK, " ").encode("utf-8", "replace")
-            if len(self.known) >= KNOWN_WORDS:
-                self.known.clear()
-            self.known[word] = got
-        return got
+    def ids_of(self, word: str) -> list[int]:
+        """Ids of one word."""
+        ids: list[int] = []
+        for i, piece in self.path(word):
+            if i >= 0:
+                ids.append(i)
+            elif self.model["bytes"]:
+                ids += [self.byte[b] for b in piece.encode("utf-8", "replace")]
+            elif not ids or ids[-1] != self.unk:
+                ids.append(self.unk)
+        return ids
 
     def normalise(self, text: str) -> str:
         if self.model["squeeze"]:
@@ -147,14 +235,11 @@ class Transducer:
             text = " " + text
         return text.replace(" ", BLANK)
 
-    def encode(self, text: str) -> tuple[list[int], bool]:
-        """Ids of a text, and whether they decode to it."""
-        ids, same, word = [], True, self.known.get
-        for w in self.words(self.normalise(text)):
-            got, ok = word(w) or self.word(w)
-            ids += got
-            same &= ok
-        return ids, same and BLANK not in text and not (self.model["squeeze"] and re.search("^ |  | $", text))
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text."""
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        return list(chain.from_iterable(map(self.known.__getitem__, self.words(self.normalise(text)))))
 
     def decode(self, ids) -> str:
         """The text of ids; the dummy prefix's blank goes, broken bytes become U+FFFD."""
@@ -165,59 +250,92 @@ class Transducer:
 
     def count(self, text: str) -> int:
         """Number of pieces, from the counts that the paths carry."""
-        known, n = self.counts, 0
-        for w in self.words(self.normalise(text)):
-            c = known.get(w)
-            if c is None:
-                if len(known) >= KNOWN_WORDS:
-                    known.clear()
-                c = known[w] = self.count_word(w)
-            n += c
-        return n
+        if len(self.counts) > KNOWN_WORDS:
+            self.counts.clear()
+        return sum(map(self.counts.__getitem__, self.words(self.normalise(text))))
 
     def count_word(self, word: str) -> int:
         """Viterbi that carries (score, pieces) per position and keeps no way back but the last piece."""
+        if self.model["bpe"]:
+            return self.count_bpe(word)
         arcs: list[list] = [[] for _ in range(len(word) + 1)]
         for end, arc in self.automaton.iter(word):
             arcs[end + 1].append(arc)
-        bpe, many = self.model["bpe"], self.model["bytes"]
+        many = self.model["bytes"]
         score, pieces, last = [np.float32(0)] * (len(word) + 1), [0] * (len(word) + 1), [""] * (len(word) + 1)
         for pos in range(1, len(word) + 1):
             done = False
             for size, piece, _, s in arcs[pos]:
                 start = pos - size
-                if bpe and (not start or self.may_follow(last[start], piece)) or not bpe and (not done or score[start] + s > score[pos]):
+                if not done or score[start] + s > score[pos]:
                     score[pos], pieces[pos], last[pos], done = score[start] + s, pieces[start] + 1, piece, True
-                    if bpe:
-                        break
             c = word[pos - 1]
-            if c not in self.score and (not done or not bpe and score[pos - 1] + self.low > score[pos]):
+            if c not in self.score and (not done or score[pos - 1] + self.low > score[pos]):
                 new = len(c.encode("utf-8", "replace")) if many else int(last[pos - 1] != "\0")
                 score[pos], pieces[pos], last[pos] = score[pos - 1] + self.low, pieces[pos - 1] + new, c if many else "\0"
         return pieces[-1]
 
+    def count_bpe(self, word: str) -> int:
+        """The same where one path has a finite cost: the count and the last piece per position."""
+        pieces, last = [0] * (len(word) + 1), [""] * (len(word) + 1)
+        follows, check = self.follows, self.may_follow
+        for end, (size, piece, _, _) in self.automaton.iter(word):
+            pos = end + 1
+            if pieces[pos]:
+                continue
+            start = pos - size
+            if start:
+                if not pieces[start]:
+                    self.count_unknown(word, pieces, last, start)
+                prev = last[start]
+                ok = follows.get((prev, piece))
+                if ok is None:
+                    ok = check(prev, piece)
+                if not ok:
+                    continue
+            pieces[pos], last[pos] = pieces[start] + 1, piece
+        if word and not last[-1]:
+            self.count_unknown(word, pieces, last, len(word))
+        return pieces[-1]
+
+    def count_unknown(self, word: str, pieces: list, last: list, pos: int) -> None:
+        """Counts up to ``pos`` over characters without an arc: their bytes, or one unknown piece for a run of them."""
+        at = pos
+        while at and not last[at]:
+            at -= 1
+        run = at > 0 and last[at] not in self.score
+        for i in range(at + 1, pos + 1):
+            c = word[i - 1]
+            new = len(c.encode("utf-8", "replace")) if self.model["bytes"] else int(not run)
+            pieces[i], last[i], run = pieces[i - 1] + new, c, True
+
 
 def encode_texts(docs: DataFrame, model: dict | None = None, text: str = "text") -> DataFrame:
-    """``docs`` with ids array<int>, n_tokens long and round_trip boolean (the ids decode to the text).
+    """``docs`` with ids array<int>, n_tokens long, round_trip boolean and decoded_sha256 string.
 
-    Whole texts are encoded as the model's own library does. Null and empty texts have no ids. A text
-    that holds U+2581 itself doesn't round-trip (the model reads it as a blank). Repeated rows come back
-    each; other columns are kept (of the same name: replaced); an empty table gives an empty result."""
+    Whole texts are encoded as the model's own library does, then decoded again: round_trip says whether that gives the
+    text, decoded_sha256 is the digest of what it gives. Null and empty texts have no ids and decode to the empty text (a null
+    one counts as that). A text that holds U+2581 itself doesn't round-trip (the model reads it as a blank). Repeated rows
+    come back each; other columns are kept, under any name (those of the new names are replaced); an empty table gives an empty result."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model or read_model())
-    docs = docs.drop("ids", "n_tokens", "round_trip").withColumn("_text", F.col(text).cast("string"))
-    names = docs.columns[:-1]
+    rows = packed(docs, text=F.col(text).cast("string"))
 
     def run(batches):
         t = Transducer(shared.value)
         for b in batches:
             for lo in range(0, b.num_rows, 128):
                 part = b.slice(lo, 128)
-                got = [t.encode(x or "") for x in part.column(len(names)).to_pylist()]
-                ids = pa.array([np.array(g, np.int32) for g, _ in got], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, pa.array([len(g) for g, _ in got], pa.int64()), pa.array([bool(ok) for _, ok in got])], [*names, "ids", "n_tokens", "round_trip"])
-    extra = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields[:-1], *extra]))
+                texts = [x or "" for x in part.column(1).to_pylist()]
+                got = [np.array(t.encode(x), np.int32) for x in texts]
+                back = [t.decode(g.tolist()) for g in got]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.list_(pa.int32())), pa.array([len(g) for g in got], pa.int64()), pa.array([x == y for x, y in zip(texts, back)]),
+                                                  pa.array([hashlib.sha256(y.encode("utf-8", "replace")).hexdigest() for y in back])], ["row", *NEW])
+    extra = [T.StructField(n, kind) for n, kind in zip(NEW, (T.ArrayType(T.IntegerType()), T.LongType(), T.BooleanType(), T.StringType()))]
+    return unpacked(rows.mapInArrow(run, T.StructType([rows.schema["row"], *extra])), docs.columns, **{n: F.col(n) for n in NEW})
+
+
+NEW = ("ids", "n_tokens", "round_trip", "decoded_sha256")
 
 
 def decode_ids(rows: DataFrame, model: dict | None = None, ids: str = "ids", into: str = "text") -> DataFrame:
@@ -232,16 +350,19 @@ def decode_ids(rows: DataFrame, model: dict | None = None, ids: str = "ids", int
 
 
 def token_counts(docs: DataFrame, model: dict | None = None, text: str = "text") -> DataFrame:
-    """``docs`` with n_tokens long: the number of pieces of the whole text (null: 0), without making ids."""
+    """``docs`` with n_tokens long: the number of pieces of the whole text, without making ids.
+
+    A null or empty text has none. Repeated rows come back each; other columns are kept, under any name (one
+    named n_tokens is replaced); an empty table gives an empty result."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model or read_model())
-    docs = docs.drop("n_tokens").withColumn("_text", F.col(text).cast("string"))
-    names = docs.columns[:-1]
+    rows = packed(docs, text=F.col(text).cast("string"))
 
     def run(batches):
         t = Transducer(shared.value)
         for b in batches:
             for lo in range(0, b.num_rows, 128):
                 part = b.slice(lo, 128)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([t.count(x or "") for x in part.column(len(names)).to_pylist()], pa.int64())], [*names, "n_tokens"])
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields[:-1], T.StructField("n_tokens", T.LongType())]))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([t.count(x or "") for x in part.column(1).to_pylist()], pa.int64())], ["row", "n_tokens"])
+    got = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("n_tokens", T.LongType())]))
+    return unpacked(got, docs.columns, n_tokens=F.col("n_tokens"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import packed, small_batches, unpacked
 from .toxicity import fold
 
 SLOTS = 1 << 17            # hashed features
@@ -92,7 +92,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     and null ids) is held out. tail_probability is that of the best grade; selected: it reaches ``threshold``.
     All words of a text count. A null or empty text has f = 0. Null labels don't count, of several the largest holds.
     With fewer than two grades every text gets the one grade (0 without labels). Repeated rows come back
-    each, other columns are kept, an empty table gives an empty result."""
+    each, other columns are kept, under any name (those of the new names are replaced), an empty table gives an empty result."""
     spark = docs.sparkSession
     small_batches(spark)
     known = labels.select(F.col(doc_id).alias("_l"), F.col(label).cast("int").alias("_y")).where("_y is not null and _l is not null").groupBy("_l").agg(F.max("_y").alias("_y"))
@@ -114,19 +114,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
         w, cuts = np.zeros(SLOTS), np.zeros(0)
         levels = levels if len(levels) else np.zeros(1, int)
     model = spark.sparkContext.broadcast((w.astype(np.float32), cuts, levels.astype(float)))
-    docs = docs.drop("held_out", "expected_grade", "tail_probability", "selected").withColumn("_text", F.col(text).cast("string"))
-    names = docs.columns[:-1]
+    whole = packed(docs, id=F.col(doc_id), text=F.col(text).cast("string"))
 
     def score(batches):
         seen: dict = {}
         w, cuts, levels = model.value
         for b in batches:
             f = np.zeros(b.num_rows)
-            for i, t in enumerate(b.column(len(names)).to_pylist()):
+            for i, t in enumerate(b.column(2).to_pylist()):
                 s, v = text_features(t, seen)
                 f[i] = float(w[s] @ v)
             below = 1 / (1 + np.exp(-np.clip(cuts[None, :] - f[:, None], -30, 30)))
             at = np.diff(np.concatenate([np.zeros((len(f), 1)), below, np.ones((len(f), 1))], 1), axis=1)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(at @ levels), pa.array(at[:, -1])], [*names, "expected_grade", "tail_probability"])
-    out = docs.mapInArrow(score, T.StructType([*docs.schema.fields[:-1], T.StructField("expected_grade", T.DoubleType()), T.StructField("tail_probability", T.DoubleType())]))
-    return out.withColumn("held_out", fold(F.col(doc_id)) == 0).withColumn("selected", F.col("tail_probability") >= threshold)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at @ levels), pa.array(at[:, -1])], ["row", "id", "grade", "tail"])
+    out = whole.mapInArrow(score, T.StructType([whole.schema["row"], whole.schema["id"], T.StructField("grade", T.DoubleType()), T.StructField("tail", T.DoubleType())]))
+    return unpacked(out, docs.columns, expected_grade=F.col("grade"), tail_probability=F.col("tail"), held_out=fold(F.col("id")) == 0, selected=F.col("tail") >= threshold)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, connected, saved, small_batches
+from .common import components, connected, packed, saved, small_batches, unpacked
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 TILE = 512
@@ -132,10 +132,13 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
     """The documents without near-duplicates: of each group the row with the smallest (doc_id, text hash) stays, once.
 
-    Columns are kept as they are. Rows with a null doc_id all stay."""
+    Columns are kept as they are, under any name; of rows equal in id and text but not in all columns the one with the smallest
+    hash over all columns stays. Rows with a null doc_id all stay. Null and empty texts are near-duplicates of each
+    other. An empty table gives an empty result."""
     rows = simhash_groups(docs, doc_id, text, shingle, radius)
     kept = (rows.where("doc_id is not null").groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
-            .select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_th")))
-    marked = docs.withColumn("_row_th", F.xxhash64(F.col(text).cast("string"))).withColumn("_row_id", F.col(doc_id).cast("long"))
-    with_id = marked.where("_row_id is not null").join(kept, (F.col("_row_id") == F.col("_id")) & (F.col("_row_th") == F.col("_th")), "left_semi")
-    return with_id.dropDuplicates(["_row_id", "_row_th"]).union(marked.where("_row_id is null")).drop("_row_th", "_row_id")
+            .select(F.col("k.doc_id").alias("id"), F.col("k.text_hash").alias("hash")))
+    marked = packed(docs, id=F.col(doc_id).cast("long"), hash=F.xxhash64(F.col(text).cast("string")))
+    with_id = marked.where("id is not null").join(kept, ["id", "hash"], "left_semi")
+    once = with_id.groupBy("id", "hash").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    return unpacked(once.union(marked.where("id is null").select("row")), docs.columns)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved, small_batches, text_chunks
+from .common import packed, saved, small_batches, text_chunks, unpacked
 
 ORDER = 6                 # bytes of an n-gram; at most 7 fit a long beside the class
 DISCOUNT = 0.75
@@ -244,7 +244,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     (a column named held_out, score or predicted is replaced)."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.drop("held_out", "score", "predicted")
     known = labels.select(F.col(doc_id).alias("_l"), F.col(label).cast("int").alias("toxic")).where("toxic is not null and _l is not null")
     known = known.where(fold(F.col("_l")) > 0).groupBy("_l").agg(F.max("toxic").alias("toxic"))
     base = docs.select(F.col(doc_id).alias("_d"), F.col(text).cast("string").alias("text"))
@@ -259,12 +258,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     fit = base.where(fold(F.col("_d")) == FOLDS - 1).join(F.broadcast(sample), F.col("_d") == F.col("_l")).select("text", "toxic")
     got = mean_ratio(fit, model, "text", "x").select("x", "toxic").limit(2 * CALIBRATION_ROWS).toPandas()
     slope, shift = fit_logistic(got.x.to_numpy(float), (got.toxic == 1).to_numpy(float)) if len(got) else (100.0, -5.0)
-    out = mean_ratio(docs.withColumn("_text", F.col(text).cast("string")), model, "_text", "_x").drop("_text")
-    score = 1 / (1 + F.exp(-(F.lit(slope) * F.col("_x") + F.lit(shift))))
-    out = out.withColumn("held_out", fold(F.col(doc_id)) == 0).withColumn("score", score)
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("_x")
+    out = mean_ratio(packed(docs, id=F.col(doc_id), text=F.col(text).cast("string")), model, "text", "x")
+    out = out.withColumn("score", 1 / (1 + F.exp(-(F.lit(slope) * F.col("x") + F.lit(shift)))))
+    return unpacked(out, docs.columns, held_out=fold(F.col("id")) == 0, score=F.col("score"), predicted=(F.col("score") >= 0.5).cast("int"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, **columns) -> DataFrame:
     """The documents that aren't predicted toxic, columns as they are."""
-    return toxicity_scores(docs, labels, **columns).where("predicted = 0").select(*docs.columns)
+    scored = toxicity_scores(packed(docs, doc_id=F.col(columns.pop("doc_id", "doc_id")), text=F.col(columns.pop("text", "text"))), labels, **columns)
+    return unpacked(scored.where("predicted = 0"), docs.columns)
