@@ -88,6 +88,40 @@ def test_walks_that_miss_give_way_to_whole_shards(spark, monkeypatch):
     assert sorted(map(tuple, vectors.near_duplicates(df).select("vec_id", "n_links", "component_id", "kept").collect()), key=str) == brute_links(rows)
 
 
+def test_few_links_that_an_audit_misses(spark, monkeypatch):
+    """12 pairs just above the threshold among 3,000 vectors in many clusters: no sampled node has a link, yet every link is found, from both sides."""
+    r = np.random.default_rng(2)
+    monkeypatch.setattr(vectors, "CLUSTER", 150)
+    monkeypatch.setattr(vectors, "AUDIT", 8)
+    monkeypatch.setattr(vectors, "AUDIT_MOST", 8)
+    x = r.normal(size=(3000, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for i in range(12):
+        side = r.normal(size=48)
+        side -= side @ x[i] * x[i]
+        x[1000 + i] = 0.905 * x[i] + np.sqrt(1 - 0.905 ** 2) * side / np.linalg.norm(side)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = {g[0]: tuple(g) for g in vectors.near_duplicates(spark.createDataFrame([(i, e, 0, "") for i, e in rows], SCHEMA)).select("vec_id", "n_links", "component_id", "kept").collect()}
+    want = {i: (i, 1, i % 1000, i < 1000) if i % 1000 < 12 and i < 1012 and (i < 12 or i >= 1000) else (i, 0, i, True) for i in range(3000)}
+    assert got == want
+
+
+def test_links_count_from_both_sides(spark, monkeypatch):
+    """Walks that find a link from its larger id only: both ends count it."""
+    r = np.random.default_rng(5)
+    base = r.normal(size=(20, 8))
+    rows = [(i, (base[i % 20] + 0.02 * r.normal(size=8)).tolist()) for i in range(80)]
+    real = vectors.range_search
+
+    def one_sided(x, lists, start, q, threshold):
+        hit = real(x, lists, start, q, threshold)
+        same = [int(np.argmax(x @ v)) for v in q]
+        return hit & (np.arange(len(x))[None, :] <= np.array(same)[:, None])
+    monkeypatch.setattr(vectors, "range_search", one_sided)
+    got = vectors.near_duplicates(spark.createDataFrame([(i, e, 0, "") for i, e in rows], SCHEMA), target=0.0).select("vec_id", "n_links", "component_id", "kept")
+    assert sorted(map(tuple, got.collect()), key=str) == brute_links(rows)
+
+
 def test_near_duplicate_edge_rows(spark):
     r = np.random.default_rng(9)
     base = r.normal(size=(12, 8))
