@@ -26,11 +26,12 @@ from pyspark.sql import functions as F
 from ..session import checkpoint
 from .positions import row_positions
 
-SALTS = 16
+#: Parts of a hot key's rows where one fact per product or set is joined, and where places of two sets meet.
+SALTS, PLACES = 16, 4
 
 
-def _salts() -> F.Column:
-    return F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)]))
+def _salts(n: int = SALTS) -> F.Column:
+    return F.explode(F.array(*[F.lit(i).cast("long") for i in range(n)]))
 
 
 def product_sets(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -72,8 +73,8 @@ def lower_bounds(at: DataFrame) -> DataFrame:
     """(rep, low): a number of common products that some other set reaches, at least 1."""
     row = at.groupBy("rep").agg(F.lit(1).alias("low"))
     ends = at.groupBy("rest", "tail").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("rest", "tail")
-    same_end = at.select("rep", "rest", "tail").withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS).cast("long"))).join(
-        ends.withColumn("salt", _salts()), ["rest", "tail", "salt"]).groupBy("rep").agg((F.max("rest") + 1).alias("low"))
+    # as many facts as ends that recur, so they aren't copied; of an end that very many sets have Spark splits the other side
+    same_end = at.select("rep", "rest", "tail").join(ends, ["rest", "tail"]).groupBy("rep").agg((F.max("rest") + 1).alias("low"))
     largest = at.groupBy("product_id").agg(F.max(F.struct("size", "rep"))["rep"].alias("other"))
     counted = at.select("rep", "product_id").withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS).cast("long"))).join(
         largest.withColumn("salt", _salts()), ["product_id", "salt"]).filter("rep != other").groupBy("rep", "other").agg(F.count(F.lit(1)).alias("low"))
@@ -87,9 +88,9 @@ def candidates(at: DataFrame, low: DataFrame) -> DataFrame:
     ``met`` counts the common places behind which both still hold ``low`` products. All others are among the last
     ``low`` common ones, so two sets share ``met`` to ``met`` + ``low`` products: who can't beat the largest ``met`` is left out."""
     asked = at.filter("users = 1").join(low, "rep").filter((F.col("rest") >= F.col("low")) & (F.col("size") > F.col("low")))
-    asked = asked.select("rep", "product_id", "low").withColumn("salt", _salts())
+    asked = asked.select("rep", "product_id", "low").withColumn("salt", _salts(PLACES))
     held = at.filter("rest >= 1").select(F.col("rep").alias("other"), "product_id", F.col("rest").alias("behind")).withColumn(
-        "salt", F.pmod(F.xxhash64("other"), F.lit(SALTS).cast("long")))
+        "salt", F.pmod(F.xxhash64("other"), F.lit(PLACES).cast("long")))
     places = asked.join(held, ["product_id", "salt"]).filter((F.col("behind") >= F.col("low")) & (F.col("rep") != F.col("other")))
     met = checkpoint(places.groupBy("rep", "other", "low").agg(F.count(F.lit(1)).alias("met")))
     best = met.groupBy("rep").agg(F.max("met").alias("best"))
