@@ -9,7 +9,7 @@ MLlib has no isolation forest, so it is built from DataFrame pieces:
 * growing: ``groupBy(tree).applyInPandas`` -- one small group per tree;
 * the model is the node table, at most n_trees * (2 * max_samples - 1) rows
   whatever the data size, so it is the one thing collected and broadcast;
-* scoring: ``mapInPandas``, vectorised over Arrow batches;
+* scoring: a pandas UDF over the features alone, vectorised over Arrow batches;
 * offset: the ``contamination`` quantile of the scores by
   ``percentile_approx`` (a fixed-size sketch; exact on small tables).
 
@@ -22,6 +22,7 @@ draws bit for bit.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -156,12 +157,11 @@ def score(df: DataFrame, nodes: DataFrame, features: list[str] = FEATURES, max_s
     psi = max_samples or int(pdf_nodes[pdf_nodes["node"] == 0]["size"].max())
     bmodel = df.sparkSession.sparkContext.broadcast(_model_arrays(pdf_nodes))
     cpsi = c_factor(psi)
-    k = len(features)
-
-    def run(batches):
+    @F.pandas_udf("double")
+    def raw_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         model = bmodel.value
         for b in batches:
-            X = b[[f"_f{i}" for i in range(k)]].to_numpy(dtype=float)
+            X = np.column_stack([c.to_numpy(dtype=float) for c in b])
             total = np.zeros(len(X))
             for feat, thr, left, right, leaf_val in model:
                 node = np.zeros(len(X), dtype=np.int64)
@@ -174,16 +174,12 @@ def score(df: DataFrame, nodes: DataFrame, features: list[str] = FEATURES, max_s
                     active = feat[node] >= 0
                 total += leaf_val[node]
             h = total / len(model)
-            b = b.drop(columns=[f"_f{i}" for i in range(k)])
-            b["_raw"] = -np.power(2.0, -h / cpsi) if cpsi > 0 else -np.ones(len(X))
-            yield b
-
-    x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(features)]
-    src = df.select("*", *x)
-    schema = StructType(df.schema.fields + [StructField("_raw", DoubleType())])
-    # the scores are written once: the offset's quantile and the final
-    # projection both read them, instead of running the Python scoring twice
-    raw = checkpoint(src.mapInPandas(run, schema))
+            yield pd.Series(-np.power(2.0, -h / cpsi) if cpsi > 0 else -np.ones(len(X)))
+
+    # only the features go through Arrow; the scores are written once: the
+    # offset's quantile and the final projection both read them
+    x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]
+    raw = checkpoint(df.withColumn("_raw", raw_score(*x)))
     cont = contamination_value if contamination_value is not None else contamination(df, label)
     offset = raw.select(F.percentile_approx("_raw", cont, accuracy)).scalar()
     out = raw.withColumn("_off", offset)

@@ -70,10 +70,12 @@ def dedupe_first(df: DataFrame, subset: list[str], order: str) -> DataFrame:
     """Keep the first row (smallest ``order``) per ``subset`` value.
 
     ``min_by`` is partially aggregated per task, so a value repeated in a
-    third of all rows is reduced before the shuffle."""
-    others = [c for c in df.columns if c not in subset]
-    g = df.groupBy(*subset).agg(F.min_by(F.struct(*others), F.col(order)).alias("_r"))
-    return g.select(*subset, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
+    third of all rows is reduced before the shuffle. Texts are grouped by their SHA-256, so
+    sorts and shuffles compare 64 characters, not texts."""
+    types = dict(df.dtypes)
+    keys = [F.sha2(c, 256) if types[c] == "string" else F.col(c) for c in subset]
+    g = df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min_by(F.struct(*df.columns), F.col(order)).alias("_r"))
+    return g.select(*[F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
 def _with_row(raw: DataFrame, order: list[str], id_mode: str) -> tuple[DataFrame, Column]:

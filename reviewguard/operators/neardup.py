@@ -144,11 +144,14 @@ def pairs_exact(df: DataFrame, p: NearDupParams = V2, with_text: bool = False,
     return _pair_output(_verify(cand, prep, p), prep, with_text)
 
 
-def pairs_minhash(df: DataFrame, p: NearDupParams = V2, tables: int = 12, rows_per_band: int = 1,
+def pairs_minhash(df: DataFrame, p: NearDupParams = V2, tables: int = 20, rows_per_band: int = 4,
                   seed: int = 17, with_text: bool = False, prepared: DataFrame | None = None,
                   chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Banded MinHash candidates (``tables`` bands of ``rows_per_band``
-    hashes), verified exactly; a subset of :func:`pairs_exact`."""
+    hashes), verified exactly; a subset of :func:`pairs_exact`.
+
+    Two texts of similarity s meet in a band with probability 1 - (1 - s^rows)^tables: as it is 99.6 % at
+    s = 0.7 (and 99.99 % at 0.8), 15 % at 0.3, where one-hash bands would bring nearly all."""
     prep = prepared if prepared is not None else prepare(df, p)
     n = tables * rows_per_band
     def hash_fn(k):

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -88,21 +90,37 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def correlation(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, as a long
-    table (a, b, corr); undefined (constant column) -> null.
+    table (a, b, corr); undefined (constant column) -> null. Rows where either is null don't count for a pair.
 
-    Each row is exploded into one (a, b, x, y) per column pair and a single
-    grouped aggregate runs per pair: partial aggregation leaves at most one
-    row per pair and task before the shuffle, and the generated code stays
-    small however many columns there are."""
+    Each task sums values and products of all column pairs at once (matrix products of
+    its batches, shifted by the columns' means so that nothing cancels) and puts out one row
+    per pair; those few rows are added and divided."""
     cols = cols or numeric_columns(df)
-    pairs = list(combinations(cols, 2))
-    cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"),
-                               F.col(b).cast("double").alias("y")) for a, b in pairs])
-    long = df.select(F.explode(cells).alias("c")).select("c.*")
-    # zero variance -> null (ANSI mode would raise inside corr)
-    r = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
-    out = long.groupBy("a", "b").agg(r.alias("corr"))
-    return out.withColumn("corr", F.when(F.isnan("corr"), None).otherwise(F.round("corr", 6)))
+    if len(cols) < 2:
+        return df.sparkSession.createDataFrame([], "a string, b string, corr double")
+    x = [F.col(c).cast("double") for c in cols]
+    facts = df.agg(*[F.struct(F.avg(v).alias("mean"), (F.min(v) < F.max(v)).alias("varies")).alias(f"c{i}") for i, v in enumerate(x)]).first()   # one row
+    means, varies = [f["mean"] for f in facts], [bool(f["varies"]) for f in facts]
+    x = df.select(*[(F.col(c).cast("double") - F.lit(float(means[i] or 0.0))).alias(f"x{i}") for i, c in enumerate(cols)])
+    pairs = list(combinations(range(len(cols)), 2))
+
+    def sums(batches):
+        total = 0
+        for b in batches:
+            v = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns])
+            there = ~np.isnan(v)
+            v, m = np.where(there, v, 0.0), there.astype(float)
+            total = total + np.stack([m.T @ m, v.T @ m, m.T @ v, (v * v).T @ m, m.T @ (v * v), v.T @ v])
+        if not isinstance(total, int):
+            at = [total[:, i, j] for i, j in pairs]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(pairs)), pa.int32()), *map(pa.array, zip(*at))], ["p", "n", "sx", "sy", "xx", "yy", "xy"])
+    s = x.mapInArrow(sums, "p int, n double, sx double, sy double, xx double, yy double, xy double").groupBy("p").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "xx", "yy", "xy")])
+    cov, vx, vy = (F.col(ab) - F.try_divide(F.col(a) * F.col(b), F.col("n")) for ab, a, b in (("xy", "sx", "sy"), ("xx", "sx", "sx"), ("yy", "sy", "sy")))
+    known = F.get(F.array(*[F.lit(varies[i] and varies[j]) for i, j in pairs]), F.col("p"))
+    r = F.when(known & (vx > 0) & (vy > 0), F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy)))
+    name = [F.get(F.array(*[F.lit(cols[pair[k]]) for pair in pairs]), F.col("p")) for k in (0, 1)]
+    return s.select(name[0].alias("a"), name[1].alias("b"), F.round(r, 6).alias("corr"))
 
 
 def top(df: DataFrame, n: int = 20, cols: list[str] | None = None) -> DataFrame:

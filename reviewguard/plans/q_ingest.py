@@ -130,6 +130,26 @@ def q_standardize_labelled(spark, sf_dir):
     return I.standardize_labelled(R.raw_labelled(spark, sf_dir), ["_ord"])
 
 
+STD_TIMES_SQL = [c.replace("make_timestamp(CAST(TRY_CAST(unixReviewTime AS DOUBLE) * 1000000 AS BIGINT))",
+                           "CASE WHEN _ord % 8 = 7 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2023-03-05 00:00:00' + to_days(CAST(_ord % 400 AS INTEGER)) END")
+                 for c in STD_DOCS_SQL]
+
+
+@query("standardize_amazon_text_times", with_ctes(*STD_TIMES_SQL, body="SELECT * FROM std_m"))
+def q_standardize_amazon_text_times(spark, sf_dir):
+    return I.standardize_marketplace(R.raw_marketplace_times(spark, sf_dir), ["_ord"])
+
+
+STD_LAB_TIMES_SQL = [STD_LAB_SQL[0], STD_LAB_SQL[1], STD_LAB_SQL[2].replace("'2024-01-01 00:00:00' AS timestamp",
+    "CASE WHEN _ord % 9 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE make_timestamp((1700000000 + _ord * 61) * 1000000) END AS _ts"), f"""l3 AS (
+  SELECT *, {pandas_ts_sql('_ts', 'l2')} AS timestamp FROM l2 WHERE review_text IS NOT NULL)""", STD_LAB_SQL[3].replace("FROM l2 WHERE review_text IS NOT NULL", "FROM l3")]
+
+
+@query("standardize_labelled_times", with_ctes(*STD_LAB_TIMES_SQL, body="SELECT * FROM std_l"))
+def q_standardize_labelled_times(spark, sf_dir):
+    return I.standardize_labelled(R.raw_labelled_times(spark, sf_dir), ["_ord"])
+
+
 @query("union_reviews", with_ctes(*STD_DOCS_SQL, *STD_LAB_SQL, body="SELECT * FROM std_m UNION ALL SELECT * FROM std_l"))
 def q_union_reviews(spark, sf_dir):
     return I.union_reviews(I.standardize_marketplace(R.raw_marketplace_docs(spark, sf_dir), ["_ord"]),

@@ -75,6 +75,25 @@ RAW_LABELLED_SQL = """raw_l AS (
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
 
+#: Layouts of the review times below, by doc_id mod 8; the last one is no time.
+TIME_LAYOUTS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MM d, yyyy", "MM dd, yyyy", "MM/dd/yyyy", "MMM d, yyyy", "d MMM yyyy"]
+
+
+def raw_marketplace_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marketplace dump of documents with free-text review times (``reviewTime``) of many layouts."""
+    day = F.date_add(F.to_date(F.lit("2023-03-05")), (F.col("_ord") % 400).cast("int"))
+    text = F.lit("some day")
+    for i, layout in enumerate(TIME_LAYOUTS):
+        text = F.when(F.col("_ord") % 8 == i, F.date_format(day, layout)).otherwise(text)
+    return raw_marketplace_docs(spark, sf_dir).withColumn("reviewTime", text).drop("unixReviewTime")
+
+
+def raw_labelled_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents with a text ``timestamp``, some of them blank."""
+    t = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("_ord") * 61)
+    return raw_labelled(spark, sf_dir).withColumn("timestamp", F.when(F.col("_ord") % 9 == 0, F.lit(" ")).otherwise(F.date_format(t, "yyyy-MM-dd HH:mm:ss")))
+
+
 def raw_label_words(spark: SparkSession, sf_dir: str, column: str = "label") -> DataFrame:
     """labels with a text label column cycling through label words, numbers
     and an unknown word."""

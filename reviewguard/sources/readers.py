@@ -25,13 +25,13 @@ def first_available(spark: SparkSession, paths: list[str]) -> str:
     raise FileNotFoundError(f"none of {paths} exists")
 
 
-def _csv_by_header(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _csv_by_header(spark: SparkSession, path: str, schema: StructType, multiline: bool = True) -> DataFrame:
     """CSV columns bound by the header's names, in whatever order the file has
-    them. Quoted fields may hold newlines and doubled quotes, so a file is
-    read by one task. Files of one path share a header; another one is an
+    them. Quoted fields may hold doubled quotes and, with ``multiline``, newlines;
+    a file is then read by one task. Without it files are split like any text. Files of one path share a header; another one is an
     error, not a shift of columns."""
     def opened():
-        return spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+        return spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
     header = opened().csv(path).columns
     text = StructType([StructField(c, StringType()) for c in header])
     df = opened().option("enforceSchema", False).schema(text).csv(path)
@@ -41,7 +41,7 @@ def _csv_by_header(spark: SparkSession, path: str, schema: StructType) -> DataFr
 
 
 def read_reviews(spark: SparkSession, path: str, schema: StructType = RAW_MARKETPLACE,
-                 fmt: str | None = None) -> DataFrame:
+                 fmt: str | None = None, multiline: bool = True) -> DataFrame:
     """JSON lines (gzip by extension) or CSV with a header (columns by name),
     with every alternate column of the declared all-text schema; columns the
     file lacks are null, to be dropped by :func:`present_columns` so that the
@@ -49,7 +49,7 @@ def read_reviews(spark: SparkSession, path: str, schema: StructType = RAW_MARKET
     ``_row`` (file order) for stable row numbers."""
     fmt = fmt or ("csv" if path.lower().endswith((".csv", ".csv.gz")) else "json")
     if fmt == "csv":
-        df = _csv_by_header(spark, path, schema)
+        df = _csv_by_header(spark, path, schema, multiline)
     else:
         df = spark.read.schema(schema).json(path).withColumn("_file", F.col("_metadata.file_path"))
     return df.withColumn("_row", F.monotonically_increasing_id())
