@@ -35,7 +35,10 @@ from .common import packed, small_batches, unpacked
 
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-KNOWN_WORDS = 300_000     # words whose paths a task keeps
+KNOWN_WORDS = 150_000     # words whose paths a task keeps, besides as many older ones
+
+
+MOST_PAIRS = 1 << 21      # neighbours whose check a task keeps
 
 
 def read_model(path: str = MODEL) -> dict:
@@ -85,16 +88,23 @@ def last_merges(score: dict) -> dict[str, tuple[str, str]]:
 
 
 class Known(dict):
-    """Words to what a function makes of them, computed when first asked for."""
+    """Words to what a function makes of them, computed when first asked for; ``turn`` keeps the table within bounds."""
 
     def __init__(self, of):
         super().__init__()
-        self.of = of
+        self.of, self.old = of, {}
 
     def __missing__(self, word: str):
-        got = self[word] = self.of(word)
+        got = self.old.get(word)
+        got = self[word] = self.of(word) if got is None else got
         return got
 
+    def turn(self) -> None:
+        """What is known gets old once there are KNOWN_WORDS; older ones that weren't asked for since go."""
+        if len(self) > KNOWN_WORDS:
+            self.old = dict(self)
+            self.clear()
+
 
 class Transducer:
     def __init__(self, model: dict):
@@ -105,7 +115,7 @@ class Transducer:
         self.out = [p.replace(BLANK, " ").encode() if kind in (1, 4) else bytes([int(p[1:-1], 16)]) if kind == 6 else b" \xe2\x81\x87 " if kind == 2 else b"" for p, _, kind in model["pieces"]]
         normal = [(model["pieces"][i][0], i, np.float32(model["pieces"][i][1])) for kind in (1, 4) for i in types[kind]]
         self.score = {p: s for p, _, s in normal}
-        self.follows: dict[tuple[str, str], bool] = {}
+        self.follows: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         if model["bpe"]:
             # merges come in the order of falling scores
@@ -121,18 +131,22 @@ class Transducer:
                     self.replayed.add(p)
         for p, i, s in normal:
             if not model["bpe"] or len(p) == 1 or p in model["merges"]:
-                self.automaton.add_word(p, (len(p), p, i, s))
+                self.automaton.add_word(p, (len(p), i) if model["bpe"] else (len(p), p, i, s))
         self.automaton.make_automaton()
         self.low = np.float32(min([s for _, _, s in normal], default=np.float32(0)) - np.float32(10))
         cut = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.score)
         self.words = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if cut else "(?s).+").findall
 
     def may_follow(self, a: str, b: str) -> bool:
-        got = self.follows.get((a, b))
-        if got is None:
-            if len(self.follows) > KNOWN_WORDS:
-                self.follows.clear()
-            got = self.follows[a, b] = merge(a + b, self.score) == [a, b] if a in self.replayed or b in self.replayed else self.stay_apart(a, b)
+        return merge(a + b, self.score) == [a, b] if a in self.replayed or b in self.replayed else self.stay_apart(a, b)
+
+    def follow(self, key: int) -> bool:
+        """May the piece in the lower half of ``key`` follow the upper half: a piece, or a character behind all pieces."""
+        if len(self.follows) > MOST_PAIRS:
+            self.follows.clear()
+        a, b = key >> 32, key & 0xFFFFFFFF
+        many = len(self.model["pieces"])
+        got = self.follows[key] = self.may_follow(self.model["pieces"][a][0] if a < many else chr(a - many), self.model["pieces"][b][0])
         return got
 
     def stay_apart(self, a: str, b: str) -> bool:
@@ -157,39 +171,52 @@ class Transducer:
             else:
                 by, strict, b = b_rank, False, b_halves[0]
 
-    def arcs_bpe(self, word: str) -> list[tuple[int, str, int]]:
-        """Per end position the (piece id or -1, text, start) of the one arc that the path to there ends with."""
-        back: list = [None] * (len(word) + 1)
-        follows, check = self.follows, self.may_follow
-        for end, (size, piece, i, _) in self.automaton.iter(word):
+    def ids_bpe(self, word: str) -> list[int]:
+        """Ids of one word's one path of finite cost; a character without an arc has the number of all pieces plus its code."""
+        last: list = [None] * (len(word) + 1)
+        begin, follows, many = [0] * (len(word) + 1), self.follows, len(self.model["pieces"])
+        for end, (size, i) in self.automaton.iter(word):
             pos = end + 1
-            if back[pos] is not None:
+            if last[pos] is not None:
                 continue
             start = pos - size
             if start:
-                prev = back[start]
-                if prev is None:
-                    self.unknown(word, back, start)
-                    prev = back[start]
-                ok = follows.get((prev[1], piece))
-                if ok is None:
-                    ok = check(prev[1], piece)
-                if not ok:
+                if last[start] is None:
+                    self.unknown(word, last, begin, start)
+                key = last[start] << 32 | i
+                ok = follows.get(key)
+                if not (self.follow(key) if ok is None else ok):
                     continue
-            back[pos] = (i, piece, start)
-        if word and back[-1] is None:
-            self.unknown(word, back, len(word))
-        return back
+            last[pos], begin[pos] = i, start
+        pos, ids = len(word), []
+        if pos and last[pos] is None:
+            self.unknown(word, last, begin, pos)
+        while pos:
+            ids.append(last[pos])
+            pos = begin[pos]
+        ids.reverse()
+        return ids if max(ids, default=0) < many else list(self.spelled(ids, many))
 
-    @staticmethod
-    def unknown(word: str, back: list, pos: int) -> None:
+    def unknown(self, word: str, last: list, begin: list, pos: int) -> None:
         """Characters without an arc, from ``pos`` back."""
-        while pos and back[pos] is None:
-            back[pos] = (-1, word[pos - 1], pos - 1)
+        while pos and last[pos] is None:
+            last[pos], begin[pos] = len(self.model["pieces"]) + ord(word[pos - 1]), pos - 1
             pos -= 1
 
+    def spelled(self, ids: list[int], many: int):
+        """Unknown characters as their bytes, or a run of them as one unknown piece."""
+        run = False
+        for i in ids:
+            if i < many:
+                yield i
+            elif self.model["bytes"]:
+                yield from (self.byte[b] for b in chr(i - many).encode("utf-8", "replace"))
+            elif not run:
+                yield self.unk
+            run = i >= many
+
     def arcs_unigram(self, word: str) -> list[tuple[int, str, int]]:
-        """As arcs_bpe: the last arc of the path of the largest score to each position."""
+        """Per end position the (piece id or -1, text, start) of the last arc of the path of the largest score to there."""
         arcs: list[list] = [[] for _ in range(len(word) + 1)]
         for end, arc in self.automaton.iter(word):
             arcs[end + 1].append(arc)
@@ -209,7 +236,7 @@ class Transducer:
 
     def path(self, word: str) -> list[tuple[int, str]]:
         """The shortest path's (piece id or -1, text) of one word."""
-        back = self.arcs_bpe(word) if self.model["bpe"] else self.arcs_unigram(word)
+        back = self.arcs_unigram(word)
         out, pos = [], len(word)
         while pos:
             i, piece, pos = back[pos]
@@ -218,6 +245,8 @@ class Transducer:
 
     def ids_of(self, word: str) -> list[int]:
         """Ids of one word."""
+        if self.model["bpe"]:
+            return self.ids_bpe(word)
         ids: list[int] = []
         for i, piece in self.path(word):
             if i >= 0:
@@ -237,8 +266,7 @@ class Transducer:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
+        self.known.turn()
         return list(chain.from_iterable(map(self.known.__getitem__, self.words(self.normalise(text)))))
 
     def decode(self, ids) -> str:
@@ -250,8 +278,7 @@ class Transducer:
 
     def count(self, text: str) -> int:
         """Number of pieces, from the counts that the paths carry."""
-        if len(self.counts) > KNOWN_WORDS:
-            self.counts.clear()
+        self.counts.turn()
         return sum(map(self.counts.__getitem__, self.words(self.normalise(text))))
 
     def count_word(self, word: str) -> int:
@@ -277,9 +304,9 @@ class Transducer:
 
     def count_bpe(self, word: str) -> int:
         """The same where one path has a finite cost: the count and the last piece per position."""
-        pieces, last = [0] * (len(word) + 1), [""] * (len(word) + 1)
-        follows, check = self.follows, self.may_follow
-        for end, (size, piece, _, _) in self.automaton.iter(word):
+        many = len(self.model["pieces"])
+        pieces, last, follows = [0] * (len(word) + 1), [-1] * (len(word) + 1), self.follows
+        for end, (size, i) in self.automaton.iter(word):
             pos = end + 1
             if pieces[pos]:
                 continue
@@ -287,27 +314,24 @@ class Transducer:
             if start:
                 if not pieces[start]:
                     self.count_unknown(word, pieces, last, start)
-                prev = last[start]
-                ok = follows.get((prev, piece))
-                if ok is None:
-                    ok = check(prev, piece)
-                if not ok:
+                key = last[start] << 32 | i
+                ok = follows.get(key)
+                if not (self.follow(key) if ok is None else ok):
                     continue
-            pieces[pos], last[pos] = pieces[start] + 1, piece
-        if word and not last[-1]:
+            pieces[pos], last[pos] = pieces[start] + 1, i
+        if word and last[-1] < 0:
             self.count_unknown(word, pieces, last, len(word))
         return pieces[-1]
 
     def count_unknown(self, word: str, pieces: list, last: list, pos: int) -> None:
         """Counts up to ``pos`` over characters without an arc: their bytes, or one unknown piece for a run of them."""
-        at = pos
-        while at and not last[at]:
+        at, many = pos, len(self.model["pieces"])
+        while at and last[at] < 0:
             at -= 1
-        run = at > 0 and last[at] not in self.score
+        run = at > 0 and last[at] >= many
         for i in range(at + 1, pos + 1):
-            c = word[i - 1]
-            new = len(c.encode("utf-8", "replace")) if self.model["bytes"] else int(not run)
-            pieces[i], last[i], run = pieces[i - 1] + new, c, True
+            new = len(word[i - 1].encode("utf-8", "replace")) if self.model["bytes"] else int(not run)
+            pieces[i], last[i], run = pieces[i - 1] + new, many + ord(word[i - 1]), True
 
 
 def encode_texts(docs: DataFrame, model: dict | None = None, text: str = "text") -> DataFrame:
