@@ -15,22 +15,27 @@ from reviewguard.sources.tables import read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't predicted toxic; null and empty texts and null ids are scored like any other, repeated rows stay or go together."""
     return toxicity.reject_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group, once; null and blank texts are one group, rows with a null id all stay."""
     return simhash.keep_one(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages that a document with a smaller id has; a null text stays null, a null id is the largest."""
     return suffixes.without_repeats(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's budget takes them; a null source is one, texts without a word come once per whole epoch."""
     return mixing.mixed_documents(docs, quality_weights(spark, sf_dir))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, ids, n_tokens, round_trip, decoded_sha256 per row; null and empty texts have no ids."""
     return pieces.encode_texts(docs.select("doc_id", "lang", "source", "text")).drop("text")
 
 
