@@ -188,14 +188,17 @@ class Transducer:
                 if not (self.follow(key) if ok is None else ok):
                     continue
             last[pos], begin[pos] = i, start
-        pos, ids = len(word), []
+        pos, ids, plain = len(word), [], True
         if pos and last[pos] is None:
             self.unknown(word, last, begin, pos)
         while pos:
-            ids.append(last[pos])
+            i = last[pos]
+            if i >= many:
+                plain = False
+            ids.append(i)
             pos = begin[pos]
         ids.reverse()
-        return ids if max(ids, default=0) < many else list(self.spelled(ids, many))
+        return ids if plain else list(self.spelled(ids, many))
 
     def unknown(self, word: str, last: list, begin: list, pos: int) -> None:
         """Characters without an arc, from ``pos`` back."""
@@ -271,7 +274,7 @@ class Transducer:
 
     def decode(self, ids) -> str:
         """The text of ids; the dummy prefix's blank goes, broken bytes become U+FFFD."""
-        raw = b"".join([self.out[i] for i in ids])
+        raw = b"".join(map(self.out.__getitem__, ids))
         if (self.model["prefix"] or self.model["squeeze"]) and raw[:1] == b" ":
             raw = raw[1:]
         return raw.decode("utf-8", "replace")
@@ -351,9 +354,9 @@ def encode_texts(docs: DataFrame, model: dict | None = None, text: str = "text")
             for lo in range(0, b.num_rows, 128):
                 part = b.slice(lo, 128)
                 texts = [x or "" for x in part.column(1).to_pylist()]
-                got = [np.array(t.encode(x), np.int32) for x in texts]
-                back = [t.decode(g.tolist()) for g in got]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.list_(pa.int32())), pa.array([len(g) for g in got], pa.int64()), pa.array([x == y for x, y in zip(texts, back)]),
+                got = [t.encode(x) for x in texts]
+                back = [t.decode(g) for g in got]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([np.array(g, np.int32) for g in got], pa.list_(pa.int32())), pa.array([len(g) for g in got], pa.int64()), pa.array([x == y for x, y in zip(texts, back)]),
                                                   pa.array([hashlib.sha256(y.encode("utf-8", "replace")).hexdigest() for y in back])], ["row", *NEW])
     extra = [T.StructField(n, kind) for n, kind in zip(NEW, (T.ArrayType(T.IntegerType()), T.LongType(), T.BooleanType(), T.StringType()))]
     return unpacked(rows.mapInArrow(run, T.StructType([rows.schema["row"], *extra])), docs.columns, **{n: F.col(n) for n in NEW})
