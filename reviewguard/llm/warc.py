@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SALTS, saved, shared_path
+from .common import SALTS, saved, shared_path, small_batches
 
 #: Bytes of a record's block, bytes of a chunk of the transfer framing, records of a file.
 SEGMENT, CHUNK, PER_FILE = 64 << 10, 8 << 10, 2000
@@ -289,6 +289,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
 
     One row per input row, repeated rows included; a problem in any record fails the job. Column names other than
     page_id, url and html have no meaning here."""
+    small_batches(pages.sparkSession)
     path = shared_path(pages.sparkSession, "warc")
     write_archives(pages, path)
     got = resolve(saved(read_pages(pages.sparkSession, path, payloads=False).drop("payload"), "warc-pages"))
