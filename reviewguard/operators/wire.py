@@ -37,11 +37,13 @@ def to_wire_json(df: DataFrame, key_col: str | None = "review_id") -> DataFrame:
 
 def parse_wire(df: DataFrame, value_col: str = "value", keep_raw: bool = False) -> DataFrame:
     """Bytes or text -> declared struct -> columns. Malformed JSON yields an
-    all-null row (dropped later by the event-time filter)."""
+    all-null row (dropped later by the event-time filter).
+
+    The struct goes through a generator of one row: filters on its columns
+    stay behind it, so each message is parsed once, not again per filter."""
     js = F.col(value_col).cast("string")
-    parsed = df.select(js.alias("json_string"), F.from_json(js, REVIEW_WIRE).alias("data"))
-    out = parsed.select(*(["json_string"] if keep_raw else []), "data.*")
-    return out
+    data = F.inline_outer(F.array(F.from_json(js, REVIEW_WIRE)))
+    return df.select(*([js.alias("json_string")] if keep_raw else []), data)
 
 
 def event_time(df: DataFrame, ts_col: str = "timestamp", fmt: str = TS_FORMAT,
