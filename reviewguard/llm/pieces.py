@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from itertools import chain
+from weakref import WeakMethod
 
 import ahocorasick
 import numpy as np
@@ -88,15 +89,17 @@ def last_merges(score: dict) -> dict[str, tuple[str, str]]:
 
 
 class Known(dict):
-    """Words to what a function makes of them, computed when first asked for; ``turn`` keeps the table within bounds."""
+    """Words to what a transducer's method makes of them, computed when first asked for; ``turn`` keeps the table within bounds.
+
+    It holds the method weakly: a task's transducer and tables go with the task, they don't stay in the worker beside the next ones."""
 
     def __init__(self, of):
         super().__init__()
-        self.of, self.old = of, {}
+        self.of, self.old = WeakMethod(of), {}
 
     def __missing__(self, word: str):
         got = self.old.get(word)
-        got = self[word] = self.of(word) if got is None else got
+        got = self[word] = self.of()(word) if got is None else got
         return got
 
     def turn(self) -> None:

@@ -1,5 +1,7 @@
+import gc
 import hashlib
 import random
+import weakref
 
 import pytest
 import sentencepiece as spm
@@ -96,3 +98,15 @@ def test_pairs_that_stay_apart_equal_replayed_merges():
             for b in made:
                 assert t.may_follow(a, b) == (pieces.merge(a + b, t.score) == [a, b]), (a, b, score)
     assert 50 < checked < 400
+
+
+def test_a_transducer_goes_with_its_task():
+    t = pieces.Transducer(pieces.read_model())
+    assert t.decode(t.encode("some words here")) == "some words here" and t.count("some words here") == len(t.encode("some words here"))
+    gone = weakref.ref(t)
+    gc.disable()
+    try:
+        del t
+        assert gone() is None
+    finally:
+        gc.enable()
