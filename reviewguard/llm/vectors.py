@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, connected, saved
+from .common import components, connected, merged, saved
 
 DEGREE, POOL, ALPHA, BEAM, MARGIN = 24, 96, 1.2, 24, 0.05
 OVERLAP, PROBES, CLUSTER, SHARD, CENTROIDS, SAMPLE = 2, 3, 1500, 4096, 1024, 16_384
@@ -123,10 +123,10 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.9, vec_id: str = "vec_
     for more in parts[1:]:
         links, edges = links.union(more[0]), edges.union(more[1])
     groups = connected(edges, "a", "b")
-    known = nodes.select("k1", "k2", "node", "copies").join(links.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").join(
-        groups.withColumnRenamed("node", "_g"), F.col("node") == F.col("_g"), "left")
+    known = nodes.select("k1", "k2", "node", "copies").join(merged(links.withColumnRenamed("node", "_n")), F.col("node") == F.col("_n"), "left").join(
+        merged(groups.withColumnRenamed("node", "_g")), F.col("node") == F.col("_g"), "left")
     known = saved(known.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), (F.col("copies") - 1 + F.coalesce("hits", F.lit(0))).alias("n"), F.coalesce("component", "node").alias("c")), "vector-links")
-    out = out.join(known, F.col("ok") & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left")
+    out = out.join(merged(known), F.col("ok") & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left")
     out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
@@ -140,7 +140,7 @@ def _search_all(nodes: DataFrame, threshold: float, target: float) -> tuple[Data
     r = np.random.default_rng(11)
     centroids = few[r.choice(len(few), min(k, len(few)), replace=False)]
     for _ in range(8):
-        at = (few @ centroids.T).argmax(1)
+        at = np.concatenate([(few[lo:lo + 1024] @ centroids.T).argmax(1) for lo in range(0, len(few), 1024)])
         sums = np.zeros_like(centroids)
         np.add.at(sums, at, few)
         size = np.linalg.norm(sums, axis=1)
@@ -167,7 +167,7 @@ def _search_all(nodes: DataFrame, threshold: float, target: float) -> tuple[Data
         got = pruned_lists(unit(table["x"]))
         return pa.table({"node": ids, "to": pa.array([ids[g] for g in got], pa.list_(pa.int64()))})
     graph = held.groupBy("cluster", "salt").applyInArrow(lists, "node long, to array<long>").groupBy(F.col("node").alias("g")).agg(F.array_distinct(F.flatten(F.collect_list("to"))).alias("to"))
-    stored = saved(held.join(graph, F.col("node") == F.col("g")).select("cluster", "salt", "node", "x", "to", (F.col("nth") == 0).alias("home"))
+    stored = saved(held.join(merged(graph), F.col("node") == F.col("g")).select("cluster", "salt", "node", "x", "to", (F.col("nth") == 0).alias("home"))
                    .withColumnsRenamed({"cluster": "c", "salt": "s", "node": "id", "x": "y"}), "vector-graph")
 
     def search(asked, table, whole):
@@ -234,7 +234,7 @@ def _search_all(nodes: DataFrame, threshold: float, target: float) -> tuple[Data
     # a link found in several shards, or from one side only, is one link of both
     once = got.where("node is not null").select(F.least("node", "to").alias("p"), F.greatest("node", "to").alias("q")).distinct()
     both = once.select(F.explode(F.array(F.struct(F.col("p").alias("node"), F.col("q").alias("to")), F.struct(F.col("q").alias("node"), F.col("p").alias("to")))).alias("e")).select("e.*")
-    hits = both.join(nodes.select(F.col("node").alias("to"), "copies"), "to").groupBy("node").agg(F.sum("copies").alias("hits"))
+    hits = both.join(merged(nodes.select(F.col("node").alias("to"), "copies")), "to").groupBy("node").agg(F.sum("copies").alias("hits"))
     return saved(hits, "vector-counts"), got.where("a is not null").select("a", "b")
 
 
