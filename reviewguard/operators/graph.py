@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from ..schema import USER_GRAPH_FEATURES
 from ..session import checkpoint
 from .dedupe import keep_max
-from .overlap import pair_features
-from .pairs import DEFAULT_CHUNK, salted_self_pairs
+from .overlap import pair_features, tiled_pairs
+from .pairs import DEFAULT_CHUNK
 
 WINDOW_KEY = ["user_id", "window_start", "window_end"]
 WINDOW_PROPS = ["anonymous_user_id", "low_rating_reviews_by_user_5m", "distinct_products",
@@ -167,11 +167,9 @@ def user_product_edges(targeted: DataFrame) -> DataFrame:
 def user_pairs(edges: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """(user1 < user2, common_products): distinct products both reach.
 
-    This is the pair table itself, so its size is the output size; a hot
-    product's pairs are produced by many tasks (salted self-join)."""
-    p = salted_self_pairs(edges.select("user_id", "product_id"), "product_id", "user_id", chunk=chunk)
-    return p.groupBy(F.col("a").alias("user1"), F.col("b").alias("user2")).agg(
-        F.count(F.lit(1)).alias("common_products"))
+    This is the pair table itself, so its size is the output size; users are
+    compared in tiles of two blocks of ``chunk``, and no pair is shuffled."""
+    return tiled_pairs(edges, users=chunk)
 
 
 def user_features(windows: DataFrame, targeted: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ looked at, the second most frequent only where L is 1, and so on.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -196,14 +197,73 @@ def tile_overlaps(left: pa.ChunkedArray, right: pa.ChunkedArray | None, weights:
     return (others.astype(np.int64), most), (others2.astype(np.int64), most2)
 
 
+def _numbered(sets: DataFrame, rep: str, *others: str) -> DataFrame:
+    """One row of each set (``rep``) that holds a product of two sets and more: its numbers as ``products``, and the ``others`` columns."""
+    held = sets.groupBy("product_id").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("product_id")
+    held = row_positions(held, ["product_id"], out_col="number").select("product_id", F.col("number").cast("int").alias("number"), _salts().alias("salt"))
+    return checkpoint(sets.withColumn("salt", F.pmod(F.xxhash64(rep), F.lit(SALTS).cast("long"))).join(held, ["product_id", "salt"]).groupBy(rep).agg(
+        *[F.first(c).alias(c) for c in others], F.collect_list("number").alias("products")))
+
+
+def tile_pairs(left: pa.ChunkedArray, right: pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row of left, row of right, common products) of the sets that share some, a bounded number at a time."""
+    x, y, n, m = _flat(left), _flat(right), len(left), len(right)
+    known, number = np.unique(np.concatenate([x[1], y[1]]), return_inverse=True)
+    x, y = (x[0], number[:len(x[0])]), (y[0], number[len(x[0]):])
+    products = len(known)
+    met = float(np.bincount(x[1], minlength=products).astype(np.float64) @ np.bincount(y[1], minlength=products))
+    if products <= DENSE and met * 30 > n * m * (2 + products / 25):      # nanoseconds of either way
+        for r, c, common in _matches_dense(x, y, n, m, products):
+            for lo in range(0, len(common), 64):
+                i, j = np.nonzero(common[lo:lo + 64])
+                yield r + lo + i, c + j, common[lo + i, j].astype(np.int64)
+    elif met:
+        yield from _matches_sparse(x, y, n, m, products)
+
+
+def tiled_pairs(edges: DataFrame, block: int = BLOCK, users: int = 4096) -> DataFrame:
+    """(user1 < user2, common_products) of all users that share a product. ``edges``: distinct user_id, product_id.
+
+    Users are dealt into blocks of about ``users`` of them and ``block`` entries; a task has two blocks and puts each of their pairs out
+    once, counted, a bounded number at a time. So no pair is shuffled, and a user's products are sent once a block."""
+    rows = _numbered(edges.filter(F.col("user_id").isNotNull() & F.col("product_id").isNotNull()).select("user_id", "product_id"), "user_id")
+    have, entries = rows.agg(F.count(F.lit(1)), F.sum(F.size("products"))).first()
+    n = max(1, -(-have // users), -(-(entries or 0) // block), min(4, -(-have // 256)))
+    mine, other = F.pmod(F.xxhash64("user_id"), F.lit(n)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    dealt = rows.withColumn("block", mine).withColumn("other", other).select(
+        "user_id", "products", (F.least("block", "other") * n + F.greatest("block", "other")).alias("tile"), (F.col("block") <= F.col("other")).alias("left"))
+    kind = rows.schema["user_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches))
+        a = t.filter(t["left"])
+        diagonal = t["tile"][0].as_py() // n == t["tile"][0].as_py() % n
+        b = a if diagonal else t.filter(pc.invert(t["left"]))
+        if not (len(a) and len(b)):
+            return
+        one, two = a["user_id"].combine_chunks(), b["user_id"].combine_chunks()
+        rank = np.empty(len(one) + len(two), np.int64)
+        rank[pc.sort_indices(pa.concat_arrays([one, two])).to_numpy()] = np.arange(len(rank))
+        for i, j, common in tile_pairs(a["products"], b["products"]):
+            if diagonal:
+                keep = i < j
+                i, j, common = i[keep], j[keep], common[keep]
+            first = rank[i] < rank[len(one) + j]      # of one tile's users: in a diagonal one the two sides' ranks are in the same order
+            for u, v, turned in ((one.take(pa.array(i[first])), two.take(pa.array(j[first])), common[first]),
+                                 (two.take(pa.array(j[~first])), one.take(pa.array(i[~first])), common[~first])):
+                for lo in range(0, len(u), 65_536):
+                    yield pa.RecordBatch.from_arrays([u[lo:lo + 65_536], v[lo:lo + 65_536], pa.array(turned[lo:lo + 65_536], pa.int64())],
+                                                     ["user1", "user2", "common_products"])
+
+    tiles = n * (n + 1) // 2
+    return dealt.repartition(1 if n == 1 else min(2 * tiles, 4096), "tile").groupBy("tile").applyInArrow(run, f"user1 {kind}, user2 {kind}, common_products long")
+
+
 def tiled_overlap(sets: DataFrame, block: int = BLOCK, small: int = SMALL_BLOCK) -> DataFrame:
     """(rep, others, most): how many users of other sets share a product with the set, and the most products that another set shares.
 
     Sets that share no product may be absent. ``sets`` as from ``product_sets``."""
-    held = sets.groupBy("product_id").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("product_id")
-    held = row_positions(held, ["product_id"], out_col="number").select("product_id", F.col("number").cast("int").alias("number"), _salts().alias("salt"))
-    rows = checkpoint(sets.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS).cast("long"))).join(held, ["product_id", "salt"]).groupBy("rep").agg(
-        F.first("users").alias("users"), F.collect_list("number").alias("products")))
+    rows = _numbered(sets, "rep", "users")
     entries = rows.agg(F.sum(F.size("products"))).first()[0] or 0
     n = max(1, -(-entries // block), min(FEW, -(-entries // small)))
     mine, other = F.pmod(F.xxhash64("rep"), F.lit(n)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
